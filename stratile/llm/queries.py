@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html, language, media, mixing, pii, quality, tokens
+from . import html, language, media, mixing, near_dups, pii, quality, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predicted_languages(_table(spark, sf_dir, "documents"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.duplicate_groups(_table(spark, sf_dir, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.contract(_table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,6 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_html_extraction, op3_token_counts, op4_quality_classifier, op5_language_id, op7_personal_data, op8_source_mixing, op9_media_columns)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_html_extraction, op3_token_counts, op4_quality_classifier, op5_language_id, op6_near_duplicates, op7_personal_data, op8_source_mixing, op9_media_columns)}
 
 ORACLE_SQL: dict[str, str] = {"op8_source_mixing": mixing.ORACLE}
