@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html, language, media, mixing, near_dups, pii, quality, tokens
+from . import html, language, media, mixing, near_dups, pieces, pii, quality, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(_table(spark, sf_dir, "documents"))
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_main_text(_table(spark, sf_dir, "pages"))
 
@@ -45,6 +49,6 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_html_extraction, op3_token_counts, op4_quality_classifier, op5_language_id, op6_near_duplicates, op7_personal_data, op8_source_mixing, op9_media_columns)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sentencepiece, op2_html_extraction, op3_token_counts, op4_quality_classifier, op5_language_id, op6_near_duplicates, op7_personal_data, op8_source_mixing, op9_media_columns)}
 
 ORACLE_SQL: dict[str, str] = {"op8_source_mixing": mixing.ORACLE}
