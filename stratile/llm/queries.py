@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html, language, media, mixing, near_dups, pieces, pii, quality, tokens
+from . import html, language, media, mixing, near_dups, pieces, pii, quality, tokens, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sentencepiece, op2_html_extraction, op3_token_counts, op4_quality_classifier, op5_language_id, op6_near_duplicates, op7_personal_data, op8_source_mixing, op9_media_columns)}
+def op10_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.vector_groups(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sentencepiece, op2_html_extraction, op3_token_counts, op4_quality_classifier, op5_language_id, op6_near_duplicates, op7_personal_data, op8_source_mixing, op9_media_columns, op10_embedding_duplicates)}
 
 ORACLE_SQL: dict[str, str] = {"op8_source_mixing": mixing.ORACLE}
