@@ -26,6 +26,7 @@ library; repeated rows are encoded each; an empty table gives no rows; columns o
 from __future__ import annotations
 
 import heapq
+import pickle
 import struct
 from collections import Counter
 from collections.abc import Iterator
@@ -33,10 +34,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._text import sample_key, slices
+from ._text import blocks, sample_key, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -47,6 +49,9 @@ HOT = 200_000
 SAMPLE_DOCS = 20_000
 #: Characters that a bucket holds on average at most; a bucket's texts are put together in one task.
 BUCKET_CHARS = 24_000_000
+#: Characters in a blob of a bucket's texts, and in all blobs that a task holds.
+PACK_CHARS = 400_000
+PACK_TOTAL = 24_000_000
 #: Log-probability under the lowest score that a character without a piece has in a unigram path.
 UNKNOWN_PENALTY = 10.0
 
@@ -195,14 +200,15 @@ def folded(grouped: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         return grouped.withColumn("path", F.expr(path)).withColumn("ids", F.expr(back)).drop("path", "edges")
     # Merges: the mask has a bit for every place where a part begins, the end included. An edge can be merged when parts
     # begin at both its ends and at exactly one place between them; the first such edge has the best score.
-    step = "coalesce(s & ~get(filter(edges, e -> (s & e.ends) = e.ends and bit_count(s & e.inner) = 1), 0).inner, s)"
-    mask = f"aggregate(sequence(1, greatest(length(unit) - 1, 1)), shiftleft(2L, length(unit)) - 1, (s, t) -> {step})"
+    # A mask that nothing can be merged in is marked by its sign, and the steps that are left pass it on.
+    step = "if(s < 0, s, coalesce(s & ~get(filter(merges, e -> (s & e.ends) = e.ends and bit_count(s & e.inner) = 1), 0).inner, s | shiftleft(1L, 63)))"
+    mask = f"aggregate(sequence(1, greatest(length(unit) - 1, 1)), shiftleft(2L, length(unit)) - 1, (s, t) -> {step}) & ~shiftleft(1L, 63)"
     parts = "array_sort(transform(filter(edges, e -> (mask & e.ends) = e.ends and (mask & e.inner) = 0), e -> named_struct('i', e.i, 'j', e.j, 'id', e.id)))"
     begins = "filter(sequence(0, length(unit) - 1), p -> (mask & shiftleft(1L, p)) != 0)"
     mended = f"flatten(transform({begins}, p -> if(exists(parts, e -> e.i = p), transform(filter(parts, e -> e.i = p), e -> e.id), {unknown('p + 1')})))"
     ids = f"case when length(unit) > {MASK_UNIT} then null when aggregate(parts, 0, (a, e) -> a + e.j - e.i) = length(unit) then transform(parts, e -> e.id) else {mended} end"
-    masked = grouped.withColumn("mask", F.expr(f"if(length(unit) > {MASK_UNIT}, 0L, {mask})"))
-    return masked.withColumn("parts", F.expr(parts)).withColumn("ids", F.expr(ids)).drop("parts", "mask", "edges")
+    masked = grouped.withColumn("merges", F.expr("filter(edges, e -> e.inner != 0)")).withColumn("mask", F.expr(f"if(length(unit) > {MASK_UNIT}, 0L, {mask})"))
+    return masked.withColumn("parts", F.expr(parts)).withColumn("ids", F.expr(ids)).drop("parts", "mask", "merges", "edges")
 
 
 def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -247,18 +253,19 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: str =
     rows, chars = kept.agg(F.count("*"), F.sum(F.length("text"))).first()
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(chars or 0) // BUCKET_CHARS))
     hot = spark.sparkContext.broadcast(_hot_units(kept, SAMPLE_DOCS / max(1, rows), vocabulary, buckets))
-    dealt = kept.withColumn("bucket", F.pmod(F.xxhash64("id", F.length("text")), F.lit(buckets)).cast("int")).repartition(buckets, "bucket")
+    keyed = kept.withColumn("bucket", F.pmod(F.xxhash64("id", F.length("text")), F.lit(buckets)).cast("int"))
+    dealt = keyed.mapInArrow(_pack, "bucket int, blob binary").repartition(buckets, "bucket")
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, known = Cutter(vocabulary), hot.value
         seen: dict[int, set[str]] = {}
         for batch in batches:
-            for part, texts in slices(batch, "text"):
-                for b, t in zip(part.column("bucket").to_pylist(), texts, strict=True):
-                    own = seen.setdefault(b, set())
-                    own.update(u for u in cutter.units(t) if u not in known)
+            for b, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob"), strict=True):
+                own = seen.setdefault(b, set())
+                for t in _unpack(blob)[1]:
+                    own.update(cutter.units(t))
         for b, own in seen.items():
-            units = list(own)
+            units = list(own.difference(known))
             for a in range(0, len(units), 50_000):
                 some = units[a : a + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array([b] * len(some), pa.int32()), pa.array(some, pa.string())], names=["bucket", "unit"])
@@ -268,25 +275,66 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: str =
     found = encode_units(wanted, vocabulary).select(F.explode("buckets").alias("bucket"), "unit", "ids")
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        cutter, known, names = Cutter(vocabulary), hot.value, Decoder(vocabulary)
-        own: dict[str, bytes] = {}
-        table = vocabulary.table()
-        for batch in right.to_batches(20_000):
-            own.update((u, np.array(merge_parts(u, table, vocabulary.unknown_ids) if i is None else i, np.int32).tobytes()) for u, i in zip(batch.column("unit").to_pylist(), batch.column("ids").to_pylist(), strict=True))
+        cutter, table, names = Cutter(vocabulary), vocabulary.table(), Decoder(vocabulary)
+        known = dict(hot.value)
+        for batch in right.to_batches(50_000):
+            ids = batch.column("ids")
+            raw, at = ids.values.to_numpy().astype(np.int32).tobytes(), (ids.offsets.to_numpy() * 4).tolist()
+            units = batch.column("unit").to_pylist()
+            known.update((u, raw[a:b]) for u, a, b in zip(units, at, at[1:]))
+            for i in np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False)) if ids.null_count else ():
+                known[units[i]] = np.array(merge_parts(units[i], table, vocabulary.unknown_ids), np.int32).tobytes()
+        find = known.__getitem__
         out = [pa.RecordBatch.from_arrays([pa.array([], f.type) for f in schema], schema=schema)]
-        for batch in left.to_batches():
-            for part, texts in slices(batch, "text"):
-                ids = [b"".join([known.get(u) or own[u] for u in cutter.units(t)]) for t in texts]
+        for blob in left.column("blob"):
+            keys, texts = _unpack(blob)
+            for a, b in blocks(texts):
+                ids = [b"".join(map(find, cutter.units(t))) for t in texts[a:b]]
                 values = np.frombuffer(b"".join(ids), np.int32)
                 bounds = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
-                ok = [names.text(values[a:b]) == t.replace(SPACE, " ") for a, b, t in zip(bounds[:-1].tolist(), bounds[1:].tolist(), texts, strict=True)]
-                out.append(pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values)), pa.array(np.diff(bounds).astype(np.int64)), pa.array(ok)], schema=schema))
+                ok = names.same(values, bounds, texts[a:b])
+                out.append(pa.RecordBatch.from_arrays([pa.array(keys[a:b], pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values)), pa.array(np.diff(bounds).astype(np.int64)), pa.array(ok)], schema=schema))
         return pa.Table.from_batches(out)
 
     schema = pa.schema([(id_col, pa.int64()), ("ids", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("decoded_ok", pa.bool_())])
     return dealt.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(assemble, f"`{id_col}` long, ids array<int>, n_tokens long, decoded_ok boolean")
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a bucket as compressed blobs of ids and texts: half the bytes to shuffle. At most PACK_TOTAL characters are held."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    held: dict[int, tuple[list, list]] = {}
+    sizes: Counter[int] = Counter()
+
+    def flush(buckets: list[int]) -> pa.RecordBatch:
+        blobs = [squeeze(pickle.dumps(held.pop(b), 5)) for b in buckets]
+        for b in buckets:
+            del sizes[b]
+        return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+
+    for batch in batches:
+        total = sizes.total()
+        for key, text, b in zip(batch.column("id").to_pylist(), batch.column("text"), batch.column("bucket").to_pylist(), strict=True):
+            text = text.as_py()
+            keys, texts = held.setdefault(b, ([], []))
+            keys.append(key)
+            texts.append(text)
+            sizes[b] += len(text)
+            total += len(text)
+            if sizes[b] > PACK_CHARS:
+                total -= sizes[b]
+                yield flush([b])
+            elif total > PACK_TOTAL:
+                yield flush(list(held))
+                total = 0
+    if held:
+        yield flush(list(held))
+
+
+def _unpack(blob: pa.Scalar) -> tuple[list, list[str]]:
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(blob.as_py()))
+
+
 class Decoder:
     """Ids back to text: pieces joined, byte pieces as UTF-8, meta spaces as spaces, the leading one dropped."""
 
@@ -295,6 +343,18 @@ class Decoder:
         shown = (NORMAL, USER_DEFINED)
         self.raw = [single[i] if i in single else p.replace(SPACE, " ").encode("utf-8") if t in shown else b"" for i, (p, t) in enumerate(zip(vocabulary.pieces, vocabulary.types, strict=True))]
         self.prefix = vocabulary.prefix
+        self.sizes = np.array([len(r) for r in self.raw], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(self.raw), np.uint8)
+
+    def same(self, values: np.ndarray, bounds: np.ndarray, texts: list[str]) -> list[bool]:
+        """Whether the ids values[bounds[i]:bounds[i + 1]] decode to text i: all at once, one by one only if that fails."""
+        sizes = self.sizes[values]
+        at = np.repeat(self.begins[values] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+        head = " " if self.prefix else ""
+        if self.bytes[at].tobytes() == "".join([head + t.replace(SPACE, " ") for t in texts if t]).encode("utf-8", "replace"):
+            return [True] * len(texts)
+        return [self.text(values[a:b]) == t.replace(SPACE, " ") for a, b, t in zip(bounds[:-1].tolist(), bounds[1:].tolist(), texts, strict=True)]
 
     def text(self, ids: np.ndarray) -> str:
         found = b"".join([self.raw[i] for i in ids.tolist()]).decode("utf-8", "replace")
