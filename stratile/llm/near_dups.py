@@ -45,6 +45,8 @@ MIN_ESTIMATE = 0.48
 PART = 500
 #: Pairs that share one copy of a set when they are confirmed.
 PER_COPY = 256
+#: Ids of classes to read again that are broadcast at most (8 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
 TOP = np.uint64(1 << 63)
 
 
@@ -80,24 +82,26 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
 
 def _shared(rows: DataFrame, values: str) -> DataFrame:
-    """doc_id, n, value, df: the values that two rows hold at least."""
-    entries = rows.select("doc_id", "n", F.explode(values).alias("value"))
+    """value, doc_id, df: the values that two rows hold at least. Counting is by map-side sums, and the join can split hot values."""
+    entries = rows.select("doc_id", F.explode(values).alias("value"))
     often = entries.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
     return entries.join(often, "value")
 
 
 def candidate_classes(classes: DataFrame) -> DataFrame:
-    """Ids of the classes that keep a shared value of their sketch (classes: doc_id, n, sketch)."""
+    """Ids of the classes that keep a value of their sketch which another class keeps too (classes: doc_id, n, sketch)."""
     size = F.least(F.col("n"), F.lit(K))
     exact = F.col("n") - F.ceil(F.col("n") * 0.75) + 1
     prefix = F.when(F.col("n") <= K, exact).otherwise(SKETCH_PREFIX)
-    shared = _shared(classes, "sketch").groupBy("doc_id").agg(F.first("n").alias("n"), F.count("*").alias("s"))
-    return shared.filter(F.col("s") > size - prefix).select("doc_id")
+    held = _shared(classes, "sketch").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))  # K values at most
+    ranked = held.join(classes.select("doc_id", "n"), "doc_id").withColumn("room", (prefix - (size - F.size("v"))).cast("int")).filter("room > 0")
+    kept = ranked.select("doc_id", F.explode(F.slice("v", F.lit(1), F.col("room"))).alias("v")).select("doc_id", F.col("v.value").alias("value"))
+    return _shared(kept.select("doc_id", F.array("value").alias("v")), "v").select("doc_id").distinct()
 
 
 def inverted_lists(sets: DataFrame) -> DataFrame:
     """value, doc_id, n, place (of the value among the set's, rarest first), df, typical: the kept shared values."""
-    shared = _shared(sets, "values")
+    shared = _shared(sets, "values").join(sets.select("doc_id", "n"), "doc_id")
     mine = Window.partitionBy("doc_id")
     ranked = shared.withColumn("s", F.count("*").over(mine)).withColumn("typical", F.sum("df").over(mine) / F.col("n")).withColumn("place", F.col("n") - F.col("s") + F.row_number().over(mine.orderBy("df", "value")))
     return ranked.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * 0.75) + 1).drop("s")
@@ -152,8 +156,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def duplicate_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     base = saved(sketches(docs))
-    classes = base.filter("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.min_by("n_shingles", "doc_id").alias("n"), F.min_by("sketch", "doc_id").alias("sketch"))
-    chosen = candidate_classes(classes.select("doc_id", "n", "sketch"))
+    classes = base.filter("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min(F.struct("doc_id", F.col("n_shingles").alias("n"), "sketch")).alias("c")).select("set_key", "c.*")
+    chosen = saved(candidate_classes(classes.select("doc_id", "n", "sketch")))
+    if chosen.count() <= BROADCAST_IDS:  # then the texts need not be shuffled to be picked
+        chosen = F.broadcast(chosen)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
     sets = saved(full_sets(texts.join(chosen, "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
     lists = saved(inverted_lists(sets))
