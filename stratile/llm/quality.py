@@ -27,7 +27,7 @@ BITS = 17
 DIM = 8
 EPOCHS = 12
 RATE = 2.0
-SAMPLE_ROWS = 4_000
+SAMPLE_ROWS = 2_000
 HELD_OUT = 2
 THRESHOLD = 0.7
 #: Zero bytes after each text, so that no n-gram of it reaches the next one.
@@ -131,8 +131,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([b.tobytes() for b, _ in found]), pa.array([s.tobytes() for _, s in found])], names=["doc_id", "y", "buckets", "shares"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").mapInArrow(run, "doc_id long, y int, buckets binary, shares binary").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")]).to_pylist()
-    return train([(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["shares"], np.float32), r["y"]) for r in rows])
+    found = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").mapInArrow(run, "doc_id long, y int, buckets binary, shares binary").toArrow()
+    ids, labels_ = found.column("doc_id").to_pylist(), found.column("y").to_pylist()
+    view = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in found.column(name)]  # noqa: E731  no copies
+    rows = list(zip(view("buckets", np.int32), view("shares", np.float32), labels_, strict=True))
+    return train([rows[i] for i in sorted(range(len(rows)), key=lambda i: (ids[i], labels_[i]))])
 
 
 def quality_scores(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
