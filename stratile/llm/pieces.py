@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._text import blocks, sample_key, slices
+from ._text import sample_key, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -48,10 +48,12 @@ MASK_UNIT = 62
 HOT = 200_000
 SAMPLE_DOCS = 20_000
 #: Characters that a bucket holds on average at most; a bucket's texts are put together in one task.
-BUCKET_CHARS = 24_000_000
+BUCKET_CHARS = 12_000_000
+#: Words that are cut at a time.
+WORD_BLOCK = 20_000
 #: Characters in a blob of a bucket's texts, and in all blobs that a task holds.
 PACK_CHARS = 400_000
-PACK_TOTAL = 24_000_000
+PACK_TOTAL = 8_000_000
 #: Log-probability under the lowest score that a character without a piece has in a unigram path.
 UNKNOWN_PENALTY = 10.0
 
@@ -131,19 +133,37 @@ class Cutter:
         chars = sorted({c for pair in pairs for c in pair})
         self.index = np.zeros(0x110000, np.int32)
         self.index[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
-        self.joined = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+        self.width = len(chars) + 1
+        joined = np.zeros((self.width, self.width), bool)
         for a, b in pairs:
-            self.joined[self.index[ord(a)], self.index[ord(b)]] = True
+            joined[self.index[ord(a)], self.index[ord(b)]] = True
+        self.joined = joined.ravel()
         self.prefix = SPACE if vocabulary.prefix else ""
+        # A space starts a unit unless it follows another one: then texts are sequences of words, each with its own space.
+        self.by_word = vocabulary.prefix and all(a == SPACE for a, b in pairs if b == SPACE)
 
-    def units(self, text: str) -> list[str]:
+    def words(self, text: str) -> list[str]:
+        """Parts that are encoded on their own: words, or the whole text where spaces stand together or at an end."""
         if not text:
             return []
-        text = self.prefix + text.replace(" ", SPACE)
-        at = self.index[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
-        cuts = np.flatnonzero(~self.joined[at[:-1], at[1:]]) + 1
-        edges = [0, *cuts.tolist(), len(text)]
-        return [text[a:b] for a, b in zip(edges, edges[1:])]
+        if not self.by_word or "  " in text or SPACE in text or text[0] == " " or text[-1] == " ":
+            return [text]
+        return text.split(" ")
+
+    def units(self, words: list[str]) -> tuple[list[str], list[int]]:
+        """Units of many words, and the bounds of each word's units."""
+        whole = "".join([self.prefix + w.replace(" ", SPACE) for w in words])
+        ends = np.cumsum([len(self.prefix) + len(w) for w in words])
+        at = self.index[np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        cut = np.ones(len(whole), bool)
+        cut[:-1] = ~self.joined[at[:-1] * self.width + at[1:]]
+        cut[ends - 1] = True
+        edges = np.flatnonzero(cut) + 1
+        out, a = [], 0
+        for b in edges.tolist():
+            out.append(whole[a:b])
+            a = b
+        return out, [0, *(np.searchsorted(edges, ends) + 1).tolist()]
 
 
 def merge_parts(unit: str, table: dict[str, tuple[int, float]], unknown) -> list[int]:
@@ -235,14 +255,24 @@ def _hot_units(kept: DataFrame, share: float, vocabulary: Vocabulary, tasks: int
         cutter = Cutter(vocabulary)
         for batch in batches:
             for _, texts in slices(batch, "text"):
-                found = Counter(u for t in texts for u in cutter.units(t))
+                words = Counter(w for t in texts for w in cutter.words(t))
+                units, bounds = cutter.units(list(words)) if words else ([], [0])
+                found: Counter[str] = Counter()
+                for n, a, b in zip(words.values(), bounds, bounds[1:]):
+                    for u in units[a:b]:
+                        found[u] += n
                 yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], names=["unit", "n"])
 
     sample = kept.filter(sample_key(F.col("id"), F.lit("pieces")) < share).select("text")
     counts = sample.mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
     top = counts.filter(F.length("unit") <= MASK_UNIT).orderBy(F.desc("n"), "unit").limit(HOT).select("unit").repartition(tasks, "unit")
-    found = encode_units(top, vocabulary).select("unit", "ids").toArrow()
-    return {u: np.array(i, np.int32).tobytes() for u, i in zip(found.column("unit").to_pylist(), found.column("ids").to_pylist(), strict=True)}
+    cache: dict[str, bytes] = {}
+    for batch in encode_units(top, vocabulary).select("unit", "ids").toArrow().to_batches():
+        ids = batch.column("ids")
+        raw, at = ids.values.to_numpy().astype(np.int32).tobytes(), (ids.offsets.to_numpy() * 4).tolist()
+        cache.update((u, raw[a:b]) for u, a, b in zip(batch.column("unit").to_pylist(), at, at[1:]))
+    pa.default_memory_pool().release_unused()
+    return cache
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -251,7 +281,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: str =
     spark = docs.sparkSession
     kept = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows, chars = kept.agg(F.count("*"), F.sum(F.length("text"))).first()
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(chars or 0) // BUCKET_CHARS))
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(chars or 0) // BUCKET_CHARS))
     hot = spark.sparkContext.broadcast(_hot_units(kept, SAMPLE_DOCS / max(1, rows), vocabulary, buckets))
     keyed = kept.withColumn("bucket", F.pmod(F.xxhash64("id", F.length("text")), F.lit(buckets)).cast("int"))
     dealt = keyed.mapInArrow(_pack, "bucket int, blob binary").repartition(buckets, "bucket")
@@ -262,10 +292,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: str =
         for batch in batches:
             for b, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob"), strict=True):
                 own = seen.setdefault(b, set())
-                for t in _unpack(blob)[1]:
-                    own.update(cutter.units(t))
+                own.update(set().union(*map(cutter.words, _unpack(blob)[1])))
         for b, own in seen.items():
-            units = list(own.difference(known))
+            words, units = list(own), set()
+            for a in range(0, len(words), WORD_BLOCK):
+                units.update(set(cutter.units(words[a : a + WORD_BLOCK])[0]).difference(known))
+            units = list(units)
             for a in range(0, len(units), 50_000):
                 some = units[a : a + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array([b] * len(some), pa.int32()), pa.array(some, pa.string())], names=["bucket", "unit"])
@@ -284,16 +316,22 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: str =
             known.update((u, raw[a:b]) for u, a, b in zip(units, at, at[1:]))
             for i in np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False)) if ids.null_count else ():
                 known[units[i]] = np.array(merge_parts(units[i], table, vocabulary.unknown_ids), np.int32).tobytes()
-        find = known.__getitem__
+        whole: dict[str, bytes] = {}
         out = [pa.RecordBatch.from_arrays([pa.array([], f.type) for f in schema], schema=schema)]
-        for blob in left.column("blob"):
+        for blob in left.column("blob"):  # one at a time, with a small table of its own words
             keys, texts = _unpack(blob)
-            for a, b in blocks(texts):
-                ids = [b"".join(map(find, cutter.units(t))) for t in texts[a:b]]
-                values = np.frombuffer(b"".join(ids), np.int32)
-                bounds = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
-                ok = names.same(values, bounds, texts[a:b])
-                out.append(pa.RecordBatch.from_arrays([pa.array(keys[a:b], pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values)), pa.array(np.diff(bounds).astype(np.int64)), pa.array(ok)], schema=schema))
+            words = [cutter.words(t) for t in texts]
+            distinct = set().union(*words)
+            new = [w for w in distinct if w not in whole]
+            if new:
+                units, at = cutter.units(new)
+                whole.update((w, b"".join(map(known.__getitem__, units[a:b]))) for w, a, b in zip(new, at, at[1:]))
+            find = {w: whole[w] for w in distinct}.__getitem__
+            ids = [b"".join(map(find, w)) for w in words]
+            values = np.frombuffer(b"".join(ids), np.int32)
+            bounds = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
+            ok = names.same(values, bounds, texts)
+            out.append(pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values)), pa.array(np.diff(bounds).astype(np.int64)), pa.array(ok)], schema=schema))
         return pa.Table.from_batches(out)
 
     schema = pa.schema([(id_col, pa.int64()), ("ids", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("decoded_ok", pa.bool_())])

@@ -27,7 +27,7 @@ BITS = 17
 DIM = 8
 EPOCHS = 12
 RATE = 2.0
-SAMPLE_ROWS = 2_000
+SAMPLE_ROWS = 1_200
 HELD_OUT = 2
 THRESHOLD = 0.7
 #: Zero bytes after each text, so that no n-gram of it reaches the next one.
@@ -135,7 +135,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     ids, labels_ = found.column("doc_id").to_pylist(), found.column("y").to_pylist()
     view = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in found.column(name)]  # noqa: E731  no copies
     rows = list(zip(view("buckets", np.int32), view("shares", np.float32), labels_, strict=True))
-    return train([rows[i] for i in sorted(range(len(rows)), key=lambda i: (ids[i], labels_[i]))])
+    model = train([rows[i] for i in sorted(range(len(rows)), key=lambda i: (ids[i], labels_[i]))])
+    del found, rows
+    pa.default_memory_pool().release_unused()  # the driver goes on without the sample
+    return model
 
 
 def quality_scores(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
