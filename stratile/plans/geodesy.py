@@ -134,7 +134,6 @@ def _corner_sql() -> str:
 
 
 _FIT = f"{_LEAF}, f as (select *, {_corner_sql()}, (max_x + min_x) / 2 cx, (max_y + min_y) / 2 cy, (max_z + min_z) / 2 cz from b), g as (select *, {', '.join(f'm{o} - a{o}0 * cx - a{o}1 * cy - a{o}2 * cz a{o}3' for o in range(3))} from f)"
-_TM_N = "0.0016792203863836474"
 
 
 def _tm_sql() -> str:
