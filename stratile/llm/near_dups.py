@@ -4,8 +4,9 @@
    document goes on. The bottom K hashes are the class's sketch.
 2. Sketch values that two classes share make inverted lists. In order of list length, a class whose other values
    are its own needs to keep only its SKETCH_PREFIX rarest values: two sets with Jaccard similarity of 0.75 share
-   MIN_COMMON of their K values (5 standard deviations under the expectation), so they share a kept one. Passages that
-   many documents repeat are the longest lists and so are the first to go unkept.
+   MIN_COMMON of their K values (5 standard deviations under the expectation), so they share a kept one. A class of K
+   values or fewer keeps what an exact bound asks for, whether its partner's sketch is the whole set or cut to K values.
+   Passages that many documents repeat are the longest lists and so are the first to go unkept.
 3. Classes that keep a shared value are read again with their full sets. The same is done with all of a set's
    values, where the bound is exact: sets with similarity of 0.75 share one of the n - ceil(0.75 n) + 1 rarest values.
 4. Lists generate pairs in two rounds, never all pairs of a list. The first links each member to its neighbour in a
@@ -91,7 +92,9 @@ def _shared(rows: DataFrame, values: str) -> DataFrame:
 def candidate_classes(classes: DataFrame) -> DataFrame:
     """Ids of the classes that keep a value of their sketch which another class keeps too (classes: doc_id, n, sketch)."""
     size = F.least(F.col("n"), F.lit(K))
-    exact = F.col("n") - F.ceil(F.col("n") * 0.75) + 1
+    widest = F.floor(F.col("n") * 4 / 3)  # the largest set that can be similar; its sketch lacks widest - K values
+    seen = F.when(widest > K, F.ceil((F.col("n") + widest) * 3 / 7) - (widest - K))
+    exact = F.col("n") - F.least(F.ceil(F.col("n") * 0.75), seen) + 1
     prefix = F.when(F.col("n") <= K, exact).otherwise(SKETCH_PREFIX)
     held = _shared(classes, "sketch").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))  # K values at most
     ranked = held.join(classes.select("doc_id", "n"), "doc_id").withColumn("room", (prefix - (size - F.size("v"))).cast("int")).filter("room > 0")

@@ -74,6 +74,19 @@ def test_near_duplicates_equal_brute_force(spark):
     assert near_dups.duplicate_groups(df.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_sets_on_both_sides_of_the_sketch_size(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(8))
+    texts = []
+    for small, large in ((64, 85), (64, 83), (63, 84), (62, 82), (61, 81), (60, 80), (58, 77), (49, 65), (66, 85)):
+        for _ in range(25):  # pairs that share nothing with others
+            words = [word() for _ in range(large + 4)]
+            texts += [" ".join(words[: small + 4]), " ".join(words)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.component_id, r.kept) for r in near_dups.duplicate_groups(df).collect()}
+    assert [i for i in range(len(texts)) if got[i] != (i - i % 2, i % 2 == 0)] == []
+
+
 def test_near_duplicates_null_and_repeated_ids(spark):
     df = spark.createDataFrame([(7, "a b c d e f"), (7, "a b c d e f"), (None, "a b c d e f"), (None, None), (9, "A b c d e f")], "doc_id long, text string")
     got = sorted(((r.doc_id is None, r.doc_id), r.n_shingles, r.component_id) for r in near_dups.duplicate_groups(df).fillna(-1, ["doc_id"]).collect())
