@@ -88,7 +88,7 @@ def smooth_normals(spark, sf_dir):
 
 
 def _points(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").filter("l_orderkey % 10 = 0").select("l_orderkey", (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("ordinal"), F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"), F.col("l_discount").alias("z"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("ordinal"), F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"), F.col("l_discount").alias("z"))
 
 
 def glb_container(spark, sf_dir):

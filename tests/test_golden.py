@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import struct
 
@@ -14,6 +15,7 @@ from stratile import sinks
 from stratile.functions import boxes, geo, text
 from stratile.model import BOX, Options
 from stratile.operators import dedup, documents, hierarchy, mesh, quadtree
+from stratile.plans import meshes
 from stratile.sources import files, indexes
 from stratile.streaming import streaming_boxes
 
@@ -149,6 +151,21 @@ def test_meshes(spark):
     assert wrapped[28 + feature + batch :].startswith(b"glTF")
 
 
+@pytest.mark.parametrize(("query", "wrap"), [(meshes.glb_container, lambda m: m), (meshes.b3dm_container, mesh.b3dm)])
+def test_containers_hold_every_order(spark, tmp_path, query, wrap):
+    items = [(order, line, order * 13 + line, float(order + line), order * 100.5 / line, line / 100) for order in range(1, 33) for line in range(1, order % 7 + 2)]
+    spark.createDataFrame(items[::-1], "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_extendedprice double, l_discount double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    want = {}
+    for order in {i[0] for i in items}:
+        points = [i[3:] for i in items if i[0] == order]
+        fan = [i for k in range(1, len(points) - 1) for i in (0, k, k + 1)]
+        model = wrap(mesh.glb(np.array(points, np.float32), np.array(fan, np.int64)))
+        want[order] = (len(model), model[:4].decode(), hashlib.sha256(model).hexdigest())
+    got = query(spark, str(tmp_path)).collect()
+    assert len(got) == len(want)
+    assert {r.l_orderkey: (r.bytes, r.magic, r.sha) for r in got} == want
+
+
 def test_dedup_is_idempotent(spark):
     rows = spark.createDataFrame([(3, "a"), (1, "a"), (2, None), (5, None), (4, "b")], "id long, text string")
     once = dedup.first_wins(rows.withColumn("key", dedup.content_key(F.col("text"))), "key", "id")
