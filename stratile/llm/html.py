@@ -1,14 +1,15 @@
 """Main text of web pages by a site style tree.
 
-Pages of one host are merged into a style tree: a branch is a path of presentation nodes (tag and class names,
-siblings merged), its features are the text blocks seen below it. A feature that c of the branch's m pages
-share has entropy log_m(c); the branch's importance is 1 minus the mean entropy of its features, so a branch that
-says the same on all pages has importance 0 and one that says something new on each has 1. Branches under
+Pages of one host are merged into a style tree, copies of one page (the same text blocks in the same branches) as one:
+a branch is a path of presentation nodes (tag and class names, siblings merged), its features are the text blocks seen
+below it. A feature that c of the branch's m pages share has entropy log_m(c) and importance 1 minus that: 0 for what
+all pages say, 1 for what one page says. The branch is as important as its most important feature, so an important
+block or branch keeps all that it is in. Branches under
 MIN_IMPORTANCE that MIN_PAGES pages hold are cut out of each page, with branches whose presentation alone marks
 them (navigation, footers, forms, adverts, reader comments, ...: importance 0 by definition). Where a page has an
 article (or main) element, the rest goes; plain text blocks inside it are the article and aren't judged.
 
-Defined results: null or empty html gives an empty text; repeated rows count as pages of their own; a page
+Defined results: null or empty html gives an empty text; repeated rows give equal results; a page
 without host is judged with the other hostless ones; an empty table gives no rows; other columns are ignored.
 A broken page gives what an HTML parser would see: an unfinished tag or comment at the end is markup, a lone "<"
 is text, unclosed elements end with their parent.
@@ -170,15 +171,16 @@ def main_text(page: str | None, url: str | None, low: frozenset[int] = frozenset
 
 
 def low_branches(pages: DataFrame) -> DataFrame:
-    """host, branch of the style trees' branches under MIN_IMPORTANCE. Features are counted with map-side sums, by (branch, feature) first, so a hot host's rows meet as counts only."""
+    """host, branch of the style trees' branches under MIN_IMPORTANCE. Copies of a page meet by (branch, feature, page) in map-side sums first, so a hot host's rows meet as counts only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, branches, features, firsts = [], [], [], []
+            hosts, branches, features, firsts, contents = [], [], [], [], []
             for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                host, seen, known = host_of(url), set(), set()
+                host, seen, known, whole = host_of(url), set(), set(), xxhash.xxh64()
                 for text, node in text_blocks(page or "", host):
                     feature = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+                    whole.update(f"{node.path}\x1f{feature}\x1e".encode("utf-8", "surrogatepass"))
                     for key in branch_keys(node):
                         if (key, feature) not in seen:
                             hosts.append(host)
@@ -187,12 +189,13 @@ def low_branches(pages: DataFrame) -> DataFrame:
                             firsts.append(int(key not in known))
                             seen.add((key, feature))
                             known.add(key)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(branches, pa.int64()), pa.array(features, pa.int64()), pa.array(firsts, pa.int64())], names=["host", "branch", "feature", "first"])
+                contents += [whole.intdigest() - (1 << 63)] * (len(hosts) - len(contents))
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(branches, pa.int64()), pa.array(features, pa.int64()), pa.array(firsts, pa.int64()), pa.array(contents, pa.int64())], names=["host", "branch", "feature", "first", "content"])
 
-    rows = pages.select("url", "html").mapInArrow(run, "host string, branch long, feature long, first long")
+    rows = pages.select("url", "html").mapInArrow(run, "host string, branch long, feature long, first long, content long").distinct()
     counts = rows.groupBy("host", "branch", "feature").agg(F.count("*").alias("c"), F.sum("first").alias("first"))
-    tree = counts.groupBy("host", "branch").agg(F.sum("first").alias("m"), F.sum(F.col("c") * F.log("c")).alias("entropy"), F.sum("c").alias("n"))
-    return tree.filter((F.col("m") >= MIN_PAGES) & (1 - F.col("entropy") / F.col("n") / F.log("m") < MIN_IMPORTANCE)).select("host", "branch")
+    tree = counts.groupBy("host", "branch").agg(F.sum("first").alias("m"), F.min("c").alias("c"))
+    return tree.filter((F.col("m") >= MIN_PAGES) & (1 - F.log("c") / F.log("m") < MIN_IMPORTANCE)).select("host", "branch")
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:

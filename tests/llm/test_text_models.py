@@ -141,6 +141,21 @@ def test_style_tree_cuts_repeated_branches(spark):
     assert html.extract_main_text(df.limit(0)).count() == 0
 
 
+def test_style_tree_keeps_copies_and_wrappers(spark):
+    story = lambda i: f"<p>Story {i} begins</p><p>it goes on with {i * 7}</p><p>and ends at {i * 11}</p>"
+    line = "<div class='top'>Always the same line</div>"
+    rows = [(i, f"http://copies.com/a?page={i}", f"{line}<div class='post'>{story(0)}</div>") for i in range(60)]
+    rows += [(60 + i, f"http://copies.com/{i}", f"{line}<div class='post'>{story(i)}</div>") for i in range(1, 13)]
+    menu = "".join(f"<p>Entry {k}</p>" for k in range(13))
+    rows += [(100 + i, f"http://wrapped.com/{i}", f"<div>{line}<div>{menu}{story(i)}</div></div>") for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract_main_text(df).collect()}
+    plain = lambda i: f"Story {i} begins it goes on with {i * 7} and ends at {i * 11}"
+    assert [got[i] for i in range(60)] == [plain(0)] * 60
+    assert [got[60 + i] for i in range(1, 13)] == [plain(i) for i in range(1, 13)]
+    assert all(got[100 + i].endswith(plain(i)) and "Always" not in got[100 + i] for i in range(30))
+
+
 def test_mixing_equals_its_sql(spark):
     con = duckdb.connect()
     con.sql(f"create view documents as select * from '{SF}/documents.parquet'")
