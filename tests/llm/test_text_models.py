@@ -130,6 +130,28 @@ def test_main_text(page, want):
     assert html.main_text(page, "http://h/x") == want
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<div class='layout no-sidebar'><p>a</p></div>", "a"),
+        ("<main class='has-sidebar'><p>a</p><div class='ad-slot'>x</div></main>", "a"),
+        ("<article class='post tag-social category-newsletter'><p>a</p></article>", "a"),
+        ("<div id='with-comments'><div class='comment-list'><p>x</p></div><p>a</p></div>", "a"),
+        ("<div class='widget'><main><p>a</p></main></div>", "a"),
+        ("<article><p>a</p><section class='comments'><article>x</article></section></article>", "a"),
+        ("<p>a <span class='ad'>x</span>b</p>", "a b"),
+    ],
+)
+def test_parts_of_names_do_not_cut(page, want):
+    assert html.main_text(page, "http://h/x") == want
+
+
+def test_style_tree_confirms_parts_of_names(spark):
+    rows = [(i, f"http://s.com/{i}", f"<div class='top-promo'>Offer {i % 4}</div><div class='plain'>Part {i % 4}</div><div class='no-sidebar'>Text {i}</div>") for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html.extract_main_text(df).collect()} == {i: f"Part {i % 4} Text {i}" for i in range(40)}
+
+
 def test_style_tree_cuts_repeated_branches(spark):
     rows = [(i, f"http://www.site.com/{i}", f"<body><div class='top'>Always the same line</div><div class='story'><p>Story number {i} about {i * 7}</p></div></body>") for i in range(40)]
     rows += [(100, "http://other.com/", "<div class='top'>Always the same line</div>"), (101, None, None)]
