@@ -31,6 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._store import saved
 from ._text import sample_key
 
 # The contract's patterns. Possessive loops match the same texts without recursion; a match starts at
@@ -177,17 +178,19 @@ def _split(x: np.ndarray, grad: np.ndarray, hess: np.ndarray, rows: np.ndarray)
     return best
 
 
-def boost(x: np.ndarray, y: np.ndarray) -> Trees | None:
-    """Gradient boosting on three quarters of the rows, calibration on the rest; None if nothing reaches MIN_PRECISION."""
+def boost(x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None) -> Trees | None:
+    """Gradient boosting on three quarters of the rows, calibration on the rest; None if nothing reaches MIN_PRECISION. A row stands for w rows."""
+    w = np.ones(len(y)) if w is None else w
     held = np.arange(len(y)) % 4 == 3
     if min(y[~held].sum(), (1 - y[~held]).sum()) < MIN_SUPPORT:
         return None
-    tx, ty = x[~held], y[~held].astype(float)
-    bias = float(np.log(ty.mean() / (1 - ty.mean())))
+    tx, ty, tw = x[~held], y[~held].astype(float), w[~held]
+    rate = np.average(ty, weights=tw)
+    bias = float(np.log(rate / (1 - rate)))
     margin, trees = np.full(len(ty), bias), []
     for _ in range(ROUNDS):
         p = 1 / (1 + np.exp(-margin))
-        grad, hess = p - ty, p * (1 - p)
+        grad, hess = (p - ty) * tw, p * (1 - p) * tw
         everything = np.ones(len(ty), bool)
         _, f, cut, *_ = _split(tx, grad, hess, everything)
         side = tx[:, f] <= cut
@@ -197,13 +200,13 @@ def boost(x: np.ndarray, y: np.ndarray) -> Trees | None:
     model = Trees(tuple(trees), bias, 0.0)
     score, truth = model.margin(x[held]), y[held]
     order = np.argsort(-score, kind="stable")
-    hits = np.cumsum(truth[order])
-    ok = [i for i in range(len(order)) if (i + 1 == len(order) or score[order[i + 1]] < score[order[i]]) and i + 1 >= MIN_SUPPORT and hits[i] >= MIN_PRECISION * (i + 1)]
+    hits, picked = np.cumsum((truth * w[held])[order]), np.cumsum(w[held][order])
+    ok = [i for i in range(len(order)) if (i + 1 == len(order) or score[order[i + 1]] < score[order[i]]) and i + 1 >= MIN_SUPPORT and hits[i] >= MIN_PRECISION * picked[i]]
     return Trees(model.trees, bias, float(score[order[ok[-1]]]) - 1e-9) if ok else None
 
 
 def fit(docs: DataFrame) -> dict[str, Trees]:
-    """Trees per generator, from candidates of about SAMPLE_DOCS documents (by a hash of the id), SAMPLE_CANDIDATES per kind at most."""
+    """Trees per generator, from candidates of about SAMPLE_DOCS documents (by a hash of the id), SAMPLE_CANDIDATES per kind at most, half of them of each label; weights keep the labels' shares."""
     share = SAMPLE_DOCS / max(1, docs.count())
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter(sample_key(F.coalesce("doc_id", F.lit(0)), F.lit("pii")) < share)
     found = matched(sample, "text", GENERATORS)
@@ -212,11 +215,17 @@ def fit(docs: DataFrame) -> dict[str, Trees]:
         return F.transform(_candidates(k), lambda c: F.struct(F.lit(k).alias("kind"), _features(c["match"], c["before"], c["after"]).alias("x"), _weak_label(k, c["match"], c["before"]).cast("int").alias("y"), c["start"].alias("start")))
 
     listed = found.select("doc_id", F.explode(F.flatten(F.array_compact(F.array(*map(examples, EXTRA))))).alias("c")).select("doc_id", "c.*").filter("y is not null")
+    listed = saved(listed.select("kind", "x", "y", F.xxhash64("doc_id", "start", "kind").alias("r")))
+    counts = {(r.kind, r.y): r.n for r in listed.groupBy("kind", "y").agg(F.count("*").alias("n")).collect()}
     models = {}
-    collected = listed.withColumn("r", F.xxhash64("doc_id", "start", "kind")).orderBy("r", "kind", "y", "x").limit(SAMPLE_CANDIDATES).select("kind", "x", "y").collect()
     for kind in EXTRA:
-        own = [r for r in collected if r.kind == kind]
-        if own and (trees := boost(np.array([r.x for r in own]), np.array([r.y for r in own]))):
+        own = []
+        for y in (0, 1):
+            if n := counts.get((kind, y), 0):
+                rows = listed.filter((F.col("kind") == kind) & (F.col("y") == y)).orderBy("r", "x").limit(SAMPLE_CANDIDATES // 2).select("r", "y", "x").collect()
+                own += [(r.r, r.y, r.x, n / len(rows)) for r in rows]
+        own.sort()
+        if own and (trees := boost(np.array([x for _, _, x, _ in own]), np.array([y for _, y, _, _ in own]), np.array([w for *_, w in own]))):
             models[kind] = trees
     return models
 

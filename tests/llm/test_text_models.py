@@ -117,6 +117,16 @@ def test_trees_select_and_redact(spark):
     assert out == ['key: "[SECRET]" mail [EMAIL] [PHONE] ip [IP] card [CARD]', "clean words", None]
 
 
+def test_hot_numbers_do_not_crowd_out_secrets(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SAMPLE_CANDIDATES", 2000)
+    numbers = [", ".join(str(10**9 + 7919 * (100 * i + k)) for k in range(100)) for i in range(400)]
+    secrets = [f'id {i} token = "{hashlib.sha1(str(i).encode()).hexdigest()}" end {"x" * 20}{i}-{i}' for i in range(120)]
+    models = pii.fit(frame(spark, numbers + secrets))
+    assert "secret" in models
+    text = f'key: "{hashlib.sha1(b"new").hexdigest()}"'
+    assert [r.text for r in pii.redacted(frame(spark, [text]), models).collect()] == ['key: "[SECRET]"']
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1></header><nav><ul><li>menu</ul></nav>
 <div class="ad">buy</div><article><h1>Head &amp; tail</h1><p>One <b>two<br><p>three &lt; four&nbsp;&#233;<script>var a="</p>";</script>
 <aside>side</aside><form><input>send</form><section id="comments"><p>nice</p></section></article><div class="sidebar">s</div><footer>&copy;</footer></body></html>"""
