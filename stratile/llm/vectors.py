@@ -6,12 +6,14 @@
 3. Rounds of NN-descent: a vector's neighbours and reverse neighbours are compared with each other, and each keeps the
    best K it has met; a list that is full of threshold links is saturated and enlarged (to 4 K). Rounds end
    when one finds no new link. Groups are compared in blocks of BLOCK members by another hash each
-   round, so a hub or a bucket of copies never meets in one task.
+   round, so a hub or a bucket of copies never meets in one task. What a block's links connect stays connected: beside
+   each member's best pairs it gives a spanning forest of all its links.
 4. Links (cosine >= 0.95, in double precision) are contracted to components. Within its component every vector is
    compared with all members, in blocks, which completes saturated lists: the counts of links are exact for the
    components found.
 5. Recall is audited: QUERIES vectors (chosen by a hash of the id) are compared with all others, in blocks; a link whose ends
-   are in different components starts another pass with fresh hyperplanes (PASSES at most), and the audit's links are kept.
+   are in different components starts another pass with fresh hyperplanes and queries, and the audit's links are kept.
+   Passes end when an audit finds no such link; each one that does joins components. The share found is logged.
 
 Defined results: a vector that takes no part has n_links 0 and its own id as component; equal vectors and repeated
 ids link with each other; a row with a null id gives a row without links; an empty table gives no rows; columns other than vec_id
@@ -20,6 +22,8 @@ and embedding are ignored.
 
 from __future__ import annotations
 
+import itertools
+import logging
 import math
 from collections.abc import Callable, Iterator
 
@@ -41,7 +45,6 @@ COUNT_BLOCK = 256
 #: Best pairs that a member takes from one block.
 TAKEN = 4
 ROUNDS = 6
-PASSES = 3
 QUERIES = 256
 
 
@@ -95,10 +98,26 @@ def _grouped(rows: DataFrame, keys: list[str], parts: int, each: Callable[[pa.Re
     return rows.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
-def local_join(groups: DataFrame, vectors: DataFrame, parts: int) -> DataFrame:
-    """u, v, sim: for each member of a group (key, id) its TAKEN best in its block, and its link to the block's first member."""
+def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (child, parent) that connect what a symmetric matrix of links connects."""
+    seen, child, parent = np.zeros(len(near), bool), [], []
+    for root in np.flatnonzero(near.any(axis=1)).tolist():
+        queue = [] if seen[root] else [root]
+        seen[root] = True
+        while queue:
+            i = queue.pop()
+            new = np.flatnonzero(near[i] & ~seen)
+            seen[new] = True
+            child += new.tolist()
+            parent += [i] * len(new)
+            queue += new.tolist()
+    return np.array(child, np.int64), np.array(parent, np.int64)
+
+
+def local_join(groups: DataFrame, vectors: DataFrame, parts: int, turn: int = 0) -> DataFrame:
+    """u, v, sim: for each member of a group (key, id) its TAKEN best in its block, and a spanning forest of the block's links. Each turn deals other blocks."""
     counts = groups.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    blocked = groups.join(counts, "key").withColumn("block", F.pmod(F.xxhash64("id", "key"), F.ceil(F.col("n") / BLOCK)))
+    blocked = groups.join(counts, "key").withColumn("block", F.pmod(F.xxhash64("id", "key", F.lit(turn)), F.ceil(F.col("n") / BLOCK)))
     rows = blocked.select("key", "block", "id").join(vectors.select("id", "v"), "id").select("key", "block", "id", "v")
 
     def each(group: pa.RecordBatch) -> list[tuple]:
@@ -110,8 +129,8 @@ def local_join(groups: DataFrame, vectors: DataFrame, parts: int) -> DataFrame:
         n = min(TAKEN, len(ids) - 1)
         best = np.argpartition(-sims, n - 1, axis=1)[:, :n]
         u, v, s = np.repeat(ids, n), ids[best].ravel(), np.take_along_axis(sims, best, 1).ravel()
-        star = np.flatnonzero(sims[0] >= THRESHOLD)
-        return np.concatenate([u, ids[star]]), np.concatenate([v, np.full(len(star), ids[0])]), np.concatenate([s, sims[0][star]])
+        child, parent = _forest((sims >= THRESHOLD) | (sims.T >= THRESHOLD))
+        return np.concatenate([u, ids[child]]), np.concatenate([v, ids[parent]]), np.concatenate([s, np.maximum(sims[child, parent], sims[parent, child])])
 
     return _grouped(rows, ["key", "block"], parts, each, "u long, v long, sim double", pa.schema([("u", pa.int64()), ("v", pa.int64()), ("sim", pa.float64())])).filter("u <> v")
 
@@ -149,10 +168,10 @@ def best_neighbours(found: DataFrame) -> DataFrame:
     return pairs.withColumn("rank", rank).filter((F.col("rank") <= K) | ((F.col("rank") <= 4 * K) & (F.col("sim") >= THRESHOLD))).drop("rank")
 
 
-def audited(vectors: DataFrame, rows: int) -> DataFrame:
+def audited(vectors: DataFrame, rows: int, attempt: int = 0) -> DataFrame:
     """a, b: all links of QUERIES vectors, by comparison with every vector."""
     share = QUERIES / max(1, rows)
-    chosen = vectors.filter(sample_key(F.col("id"), F.lit("audit")) < share).select("id", "v").limit(4 * QUERIES).toArrow().to_batches()
+    chosen = vectors.filter(sample_key(F.col("id"), F.lit("audit"), F.lit(attempt)) < share).select("id", "v").limit(4 * QUERIES).toArrow().to_batches()
     queries = {}
     for batch in chosen:
         for key, v in zip(batch.column("id").to_pylist(), batch.column("v").to_pylist(), strict=True):
@@ -206,13 +225,13 @@ def vector_groups(table: DataFrame) -> DataFrame:
     rows = vectors.count()
     bits = max(1, math.ceil(math.log2(max(2, rows) / PER_BUCKET)))
     graph, links = None, None
-    audit = saved(audited(vectors, rows))
-    for attempt in range(PASSES):
-        met = local_join(bucket_groups(vectors, bits, attempt), vectors, parts)
+    for attempt in itertools.count():
+        turn = attempt * (ROUNDS + 1)
+        met = local_join(bucket_groups(vectors, bits, attempt), vectors, parts, turn)
         total = -1
         for step in range(ROUNDS + 1):
             if step:
-                met = local_join(neighbour_groups(graph), vectors, parts)
+                met = local_join(neighbour_groups(graph), vectors, parts, turn + step)
             met = saved(met)
             graph = saved(best_neighbours(met if graph is None else graph.unionByName(met)))
             near = met.filter(F.col("sim") >= THRESHOLD).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
@@ -223,11 +242,13 @@ def vector_groups(table: DataFrame) -> DataFrame:
             total = count
         found = components(links)
         here, there = found.select(F.col("node").alias("a"), F.col("component").alias("ca")), found.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+        audit = saved(audited(vectors, rows, attempt))
         missed = saved(audit.join(here, "a", "left").join(there, "b", "left").filter(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b"))
-        if not missed.count():
+        lost, total = missed.count(), audit.count()
+        logging.getLogger(__name__).info("pass %d: %d of %d audited links lie within components", attempt, total - lost, total)
+        if not lost:
             break
         links = saved(links.unionByName(missed))
-        found = components(links)
     inner = count_links(vectors, found, parts)
     classes = vectors.join(found, F.col("id") == F.col("node"), "left").join(inner.withColumnRenamed("id", "i"), F.col("id") == F.col("i"), "left").select("v", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     named = base.join(classes, "v", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))

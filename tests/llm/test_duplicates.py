@@ -130,6 +130,17 @@ def test_vectors_equal_brute_force(spark):
     assert vectors.vector_groups(df.limit(0)).count() == 0
 
 
+def test_blocks_keep_bridges_between_dense_groups(spark):
+    rng = np.random.default_rng(4)
+    at = np.eye(32)[0], np.cos(0.5) * np.eye(32)[0] + np.sin(0.5) * np.eye(32)[1]
+    ends = [np.cos(a) * np.eye(32)[0] + np.sin(a) * np.eye(32)[1] for a in (0.12, 0.38)]
+    x = np.array([a + rng.normal(size=32) * 0.001 for a in at for _ in range(20)] + ends)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    met = vectors.local_join(rows.selectExpr("1L as key", "id"), rows, 2).filter("sim >= 0.95").collect()
+    assert len(met) <= 5 * len(x)
+    assert groups(len(x), [(r.u, r.v) for r in met]) == [0] * len(x)
+
+
 def test_media(spark):
     texts = [None, "", "abc", "é" * 288, "é" * 289, "long text " * 3000, "abc"]
     df = spark.createDataFrame([(i, t, b"clash") for i, t in enumerate(texts)], "doc_id long, text string, media binary")
