@@ -31,6 +31,7 @@ import struct
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 MASK_UNIT = 62
+#: The code of a merge edge: the place of its piece by score, where it begins (6 bits), stop (1 bit), id.
+ID_BITS, FROM_AT, PLACE_AT = 20, 21, 27
 HOT = 200_000
 SAMPLE_DOCS = 20_000
 #: Characters that a bucket holds on average at most; a bucket's texts are put together in one task.
@@ -117,6 +120,17 @@ class Vocabulary:
     def table(self) -> dict[str, tuple[int, float]]:
         return {p: (i, s) for i, (p, s, t) in enumerate(zip(self.pieces, self.scores, self.types, strict=True)) if t in (NORMAL, USER_DEFINED)}
 
+    def early(self) -> set[str]:
+        """Pieces that a merge with a neighbour can turn into a piece of the same score or a better one."""
+        table = self.table()
+        found = set()
+        for whole, (_, score) in table.items():
+            for k in range(1, len(whole)):
+                a, b = table.get(whole[:k]), table.get(whole[k:])
+                if a and b:
+                    found |= {p for p, (_, s) in ((whole[:k], a), (whole[k:], b)) if s <= score and len(p) > 1}
+        return found
+
     def byte_ids(self) -> dict[int, int]:
         return {int(p[1:-1], 16): i for i, (p, t) in enumerate(zip(self.pieces, self.types, strict=True)) if t == BYTE}
 
@@ -166,6 +180,12 @@ class Cutter:
         return out, [0, *(np.searchsorted(edges, ends) + 1).tolist()]
 
 
+@cache
+def tools(vocabulary: Vocabulary) -> tuple[Cutter, dict[str, tuple[int, float]], Decoder]:
+    """Built once a worker."""
+    return Cutter(vocabulary), vocabulary.table(), Decoder(vocabulary)
+
+
 def merge_parts(unit: str, table: dict[str, tuple[int, float]], unknown) -> list[int]:
     """BPE merges of one unit with a heap: n log n, for units of any length."""
     parts, left, right = list(unit), list(range(-1, len(unit) - 1)), list(range(1, len(unit) + 1))
@@ -191,9 +211,14 @@ def merge_parts(unit: str, table: dict[str, tuple[int, float]], unknown) -> list
 
 
 def piece_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
-    """piece, id, score of all pieces that text can become."""
+    """piece, id, score, code of all pieces that text can become. code: place by score (best first), stop (a merge of the piece may open one of a better place), id."""
     rows = vocabulary.table()
-    return spark.createDataFrame(pa.table({"piece": list(rows), "id": pa.array([i for i, _ in rows.values()], pa.int32()), "score": pa.array([s for _, s in rows.values()], pa.float64())}))
+    if len(vocabulary.pieces) > 1 << ID_BITS:
+        raise ValueError("too many pieces")
+    early = vocabulary.early() if vocabulary.kind == BPE else set()
+    place = {score: i for i, score in enumerate(sorted({s for _, s in rows.values()}, reverse=True))}
+    code = [place[s] << PLACE_AT | (p in early) << ID_BITS | i for p, (i, s) in rows.items()]
+    return spark.createDataFrame(pa.table({"piece": list(rows), "id": pa.array([i for i, _ in rows.values()], pa.int32()), "score": pa.array([s for _, s in rows.values()], pa.float64()), "code": pa.array(code, pa.int64())}))
 
 
 def _unknown_sql(vocabulary: Vocabulary, char: str) -> str:
@@ -207,7 +232,7 @@ def _unknown_sql(vocabulary: Vocabulary, char: str) -> str:
 
 
 def folded(grouped: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Adds ids to rows of unit, edges (array<struct<rank, i, j, ends, inner, id>>, best score first, then leftmost)."""
+    """Adds ids to rows of unit, edges (sorted; of a unigram model array<struct<rank, i, j, id>>, of a BPE model array<struct<code, ends, inner>>: best piece first, then leftmost)."""
     unknown = lambda at: _unknown_sql(vocabulary, f"substring(unit, {at}, 1)")
     if vocabulary.kind != BPE:
         # Viterbi: state j holds the best path to place j; the later start on ties.
@@ -219,16 +244,19 @@ def folded(grouped: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         back = "aggregate(sequence(1, length(unit)), named_struct('at', length(unit), 'ids', cast(array() as array<int>)), (a, t) -> if(a.at <= 0, a, named_struct('at', path[a.at].i, 'ids', concat(path[a.at].ids, a.ids))), a -> a.ids)"
         return grouped.withColumn("path", F.expr(path)).withColumn("ids", F.expr(back)).drop("path", "edges")
     # Merges: the mask has a bit for every place where a part begins, the end included. An edge can be merged when parts
-    # begin at both its ends and at exactly one place between them; the first such edge has the best score.
-    # A mask that nothing can be merged in is marked by its sign, and the steps that are left pass it on.
-    step = "if(s < 0, s, coalesce(s & ~get(filter(merges, e -> (s & e.ends) = e.ends and bit_count(s & e.inner) = 1), 0).inner, s | shiftleft(1L, 63)))"
-    mask = f"aggregate(sequence(1, greatest(length(unit) - 1, 1)), shiftleft(2L, length(unit)) - 1, (s, t) -> {step}) & ~shiftleft(1L, 63)"
-    parts = "array_sort(transform(filter(edges, e -> (mask & e.ends) = e.ends and (mask & e.inner) = 0), e -> named_struct('i', e.i, 'j', e.j, 'id', e.id)))"
+    # begin at both its ends and at exactly one place between them; the first such edge has the best score. A merge of most
+    # pieces opens no better one, so the edges behind it can be gone on with; after others, which set the mask's sign, the edges are
+    # gone through again from the first: that is at most once a merge.
+    sweep = f"aggregate(edges, s & ~shiftleft(1L, 63), (m, e) -> if(m >= 0 and (m & e.ends) = e.ends and bit_count(m & e.inner) = 1, (m & ~e.inner) | (shiftleft(e.code, {63 - ID_BITS}) & shiftleft(1L, 63)), m))"
+    mask = f"aggregate(sequence(1, length(unit)), (shiftleft(2L, length(unit)) - 1) | shiftleft(1L, 63), (s, t) -> if(s >= 0, s, {sweep})) & ~shiftleft(1L, 63)"
+    # Parts in order of their begins.
+    parts = f"sort_array(transform(filter(edges, e -> (mask & e.ends) = e.ends and (mask & e.inner) = 0), e -> e.code & {(1 << PLACE_AT) - 1}L))"
     begins = "filter(sequence(0, length(unit) - 1), p -> (mask & shiftleft(1L, p)) != 0)"
-    mended = f"flatten(transform({begins}, p -> if(exists(parts, e -> e.i = p), transform(filter(parts, e -> e.i = p), e -> e.id), {unknown('p + 1')})))"
-    ids = f"case when length(unit) > {MASK_UNIT} then null when aggregate(parts, 0, (a, e) -> a + e.j - e.i) = length(unit) then transform(parts, e -> e.id) else {mended} end"
-    masked = grouped.withColumn("merges", F.expr("filter(edges, e -> e.inner != 0)")).withColumn("mask", F.expr(f"if(length(unit) > {MASK_UNIT}, 0L, {mask})"))
-    return masked.withColumn("parts", F.expr(parts)).withColumn("ids", F.expr(ids)).drop("parts", "mask", "merges", "edges")
+    part_id, part_at = f"cast(e & {(1 << ID_BITS) - 1} as int)", f"shiftright(e, {FROM_AT})"
+    mended = f"flatten(transform({begins}, p -> if(exists(parts, e -> {part_at} = p), transform(filter(parts, e -> {part_at} = p), e -> {part_id}), {unknown('p + 1')})))"
+    ids = f"case when length(unit) > {MASK_UNIT} then null when size(parts) = bit_count(mask) - 1 then transform(parts, e -> {part_id}) else {mended} end"
+    masked = grouped.withColumn("mask", F.expr(f"if(length(unit) > {MASK_UNIT}, 0L, {mask})"))
+    return masked.withColumn("parts", F.expr(parts)).withColumn("ids", F.expr(ids)).drop("parts", "mask", "edges")
 
 
 def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -242,17 +270,50 @@ def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     others = [c for c in units.columns if c != "unit"]
     spread = units.withColumn("i", F.explode(F.expr("sequence(0, length(unit) - 1)"))).withColumn("j", F.explode(F.expr(f"sequence(i + 1, least(i + {reach}, length(unit)))")))
     edges = spread.withColumn("piece", F.expr("substring(unit, i + 1, j - i)")).join(pieces, "piece", "left").filter("id is not null or (i = 0 and j = 1)")
-    masks = (F.expr("shiftleft(1L, i) | shiftleft(1L, j)").alias("ends"), F.expr("shiftleft(1L, j) - shiftleft(2L, i)").alias("inner"))
-    edge = F.when(F.col("id").isNotNull(), F.struct((-F.col("score")).alias("rank"), "i", "j", *masks, "id"))
+    if vocabulary.kind == BPE:
+        masks = (F.expr("shiftleft(1L, i) | shiftleft(1L, j)").alias("ends"), F.expr("shiftleft(1L, j) - shiftleft(2L, i)").alias("inner"))
+        edge = F.when(F.expr(f"id is not null and length(unit) <= {MASK_UNIT}"), F.struct(F.expr(f"code | shiftleft(cast(i as bigint), {FROM_AT})").alias("code"), *masks))
+    else:
+        edge = F.when(F.col("id").isNotNull(), F.struct((-F.col("score")).alias("rank"), "i", "j", "id"))
     grouped = edges.groupBy("unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"), *(F.first(c).alias(c) for c in others))
     return folded(grouped, vocabulary)
 
 
-def _hot_units(kept: DataFrame, share: float, vocabulary: Vocabulary, tasks: int) -> dict[str, bytes]:
+class Cache:
+    """Units with their ids as an Arrow table's bytes: what the driver holds and broadcasts. A worker unpacks them once."""
+
+    def __init__(self, table: pa.Table):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as stream:
+            stream.write_table(table)
+        self.packed = zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
+
+    def __getstate__(self) -> bytes:
+        return self.packed
+
+    def __setstate__(self, packed: bytes) -> None:
+        self.packed = packed
+
+    @cached_property
+    def units(self) -> dict[str, bytes]:
+        found: dict[str, bytes] = {}
+        with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(self.packed)) as stream:
+            for batch in stream:
+                found.update(_by_unit(batch))
+        return found
+
+
+def _by_unit(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
+    ids = batch.column("ids")
+    raw, at = ids.values.to_numpy().astype(np.int32).tobytes(), (ids.offsets.to_numpy() * 4).tolist()
+    return zip(batch.column("unit").to_pylist(), [raw[a:b] for a, b in zip(at, at[1:])], strict=True)
+
+
+def _hot_units(kept: DataFrame, share: float, vocabulary: Vocabulary, tasks: int) -> Cache:
     """The most frequent units of a bounded sample with their ids: a cache, at most HOT units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = Cutter(vocabulary)
+        cutter = tools(vocabulary)[0]
         for batch in batches:
             for _, texts in slices(batch, "text"):
                 words = Counter(w for t in texts for w in cutter.words(t))
@@ -266,11 +327,7 @@ def _hot_units(kept: DataFrame, share: float, vocabulary: Vocabulary, tasks: int
     sample = kept.filter(sample_key(F.col("id"), F.lit("pieces")) < share).select("text")
     counts = sample.mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
     top = counts.filter(F.length("unit") <= MASK_UNIT).orderBy(F.desc("n"), "unit").limit(HOT).select("unit").repartition(tasks, "unit")
-    cache: dict[str, bytes] = {}
-    for batch in encode_units(top, vocabulary).select("unit", "ids").toArrow().to_batches():
-        ids = batch.column("ids")
-        raw, at = ids.values.to_numpy().astype(np.int32).tobytes(), (ids.offsets.to_numpy() * 4).tolist()
-        cache.update((u, raw[a:b]) for u, a, b in zip(batch.column("unit").to_pylist(), at, at[1:]))
+    cache = Cache(encode_units(top, vocabulary).select("unit", "ids").toArrow())
     pa.default_memory_pool().release_unused()
     return cache
 
@@ -283,11 +340,11 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: str =
     rows, chars = kept.agg(F.count("*"), F.sum(F.length("text"))).first()
     buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(chars or 0) // BUCKET_CHARS))
     hot = spark.sparkContext.broadcast(_hot_units(kept, SAMPLE_DOCS / max(1, rows), vocabulary, buckets))
-    keyed = kept.withColumn("bucket", F.pmod(F.xxhash64("id", F.length("text")), F.lit(buckets)).cast("int"))
+    keyed = kept.withColumn("bucket", F.pmod(F.xxhash64("id", "text"), F.lit(buckets)).cast("int"))
     dealt = keyed.mapInArrow(_pack, "bucket int, blob binary").repartition(buckets, "bucket")
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, known = Cutter(vocabulary), hot.value
+        cutter, known = tools(vocabulary)[0], hot.value.units
         seen: dict[int, set[str]] = {}
         for batch in batches:
             for b, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob"), strict=True):
@@ -307,31 +364,32 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: str =
     found = encode_units(wanted, vocabulary).select(F.explode("buckets").alias("bucket"), "unit", "ids")
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        cutter, table, names = Cutter(vocabulary), vocabulary.table(), Decoder(vocabulary)
-        known = dict(hot.value)
+        cutter, table, names = tools(vocabulary)
+        known = dict(hot.value.units)
         for batch in right.to_batches(50_000):
-            ids = batch.column("ids")
-            raw, at = ids.values.to_numpy().astype(np.int32).tobytes(), (ids.offsets.to_numpy() * 4).tolist()
-            units = batch.column("unit").to_pylist()
-            known.update((u, raw[a:b]) for u, a, b in zip(units, at, at[1:]))
-            for i in np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False)) if ids.null_count else ():
-                known[units[i]] = np.array(merge_parts(units[i], table, vocabulary.unknown_ids), np.int32).tobytes()
+            known.update(_by_unit(batch))
+            nulls = np.flatnonzero(batch.column("ids").is_null().to_numpy(zero_copy_only=False)) if batch.column("ids").null_count else ()
+            for i in nulls:
+                unit = batch.column("unit")[i].as_py()
+                known[unit] = np.array(merge_parts(unit, table, vocabulary.unknown_ids), np.int32).tobytes()
         whole: dict[str, bytes] = {}
+        odd: set[str] = set()  # words that their ids don't decode to alone
         out = [pa.RecordBatch.from_arrays([pa.array([], f.type) for f in schema], schema=schema)]
-        for blob in left.column("blob"):  # one at a time, with a small table of its own words
+        for blob in left.column("blob"):  # one at a time
             keys, texts = _unpack(blob)
             words = [cutter.words(t) for t in texts]
-            distinct = set().union(*words)
-            new = [w for w in distinct if w not in whole]
+            new = list(set().union(*words).difference(whole))
             if new:
                 units, at = cutter.units(new)
-                whole.update((w, b"".join(map(known.__getitem__, units[a:b]))) for w, a, b in zip(new, at, at[1:]))
-            find = {w: whole[w] for w in distinct}.__getitem__
-            ids = [b"".join(map(find, w)) for w in words]
+                found = [b"".join(map(known.__getitem__, units[a:b])) for a, b in zip(at, at[1:])]
+                whole.update(zip(new, found, strict=True))
+                odd.update(names.differing(found, new))
+            ids = [b"".join(map(whole.__getitem__, w)) for w in words]
             values = np.frombuffer(b"".join(ids), np.int32)
             bounds = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
-            ok = names.same(values, bounds, texts)
-            out.append(pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values)), pa.array(np.diff(bounds).astype(np.int64)), pa.array(ok)], schema=schema))
+            # Words decode to themselves, so a text does; one with an odd word is decoded whole.
+            ok = [not odd or odd.isdisjoint(w) or names.text(values[a:b]) == t.replace(SPACE, " ") for w, t, a, b in zip(words, texts, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+            out.append(pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values)), pa.array(np.diff(bounds).astype(np.int64)), pa.array(ok, pa.bool_())], schema=schema))
         return pa.Table.from_batches(out)
 
     schema = pa.schema([(id_col, pa.int64()), ("ids", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("decoded_ok", pa.bool_())])
@@ -385,14 +443,18 @@ class Decoder:
         self.begins = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(self.raw), np.uint8)
 
-    def same(self, values: np.ndarray, bounds: np.ndarray, texts: list[str]) -> list[bool]:
-        """Whether the ids values[bounds[i]:bounds[i + 1]] decode to text i: all at once, one by one only if that fails."""
+    def differing(self, ids: list[bytes], words: list[str]) -> list[str]:
+        """The words that their ids don't decode to: all are compared at once, one by one only if that fails."""
+        values = np.frombuffer(b"".join(ids), np.int32)
         sizes = self.sizes[values]
         at = np.repeat(self.begins[values] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
         head = " " if self.prefix else ""
-        if self.bytes[at].tobytes() == "".join([head + t.replace(SPACE, " ") for t in texts if t]).encode("utf-8", "replace"):
-            return [True] * len(texts)
-        return [self.text(values[a:b]) == t.replace(SPACE, " ") for a, b, t in zip(bounds[:-1].tolist(), bounds[1:].tolist(), texts, strict=True)]
+        raw = [(head + w).encode("utf-8", "surrogatepass") for w in words]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        ends = np.cumsum([len(i) // 4 for i in ids])
+        if np.array_equal(total[ends], np.cumsum([len(r) for r in raw])) and self.bytes[at].tobytes() == b"".join(raw):
+            return []
+        return [w for w, r, a, b in zip(words, raw, [0, *ends.tolist()], ends.tolist()) if b"".join([self.raw[i] for i in values[a:b].tolist()]) != r]
 
     def text(self, ids: np.ndarray) -> str:
         found = b"".join([self.raw[i] for i in ids.tolist()]).decode("utf-8", "replace")
@@ -404,7 +466,7 @@ def decode(rows: DataFrame, vocabulary: Vocabulary | None = None, id_col: str =
     vocabulary = vocabulary or Vocabulary.load()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = Decoder(vocabulary)
+        names = tools(vocabulary)[2]
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([names.text(np.array(i or [], np.int64)) for i in batch.column(1).to_pylist()], pa.string())], names=[id_col, "text"])
 
