@@ -5,8 +5,8 @@ training texts; hashed character n-grams (1 to 4, with word borders) give each c
 Viterbi path with a switching penalty labels the words, so spans of one language come out whole. The document's
 language is the one that covers most letters, its score the share of letters covered.
 
-The model is counted over a bounded sample of training rows (SAMPLE_ROWS expected at most, chosen by a hash of the
-id); the counting is done by the executors. Defined results: null texts and texts without letters give `und` with
+The model is counted over a bounded sample of training rows (SAMPLE_ROWS of a language expected at most, chosen by a hash
+of the id, so that a rare language is learned from all its rows); the counting is done by the executors. Defined results: null texts and texts without letters give `und` with
 score 0; ties go to the first language by code point; with no training row everything is `und`; repeated rows give
 equal results; an empty table gives no rows; other columns of the input are ignored.
 """
@@ -28,7 +28,13 @@ from ._text import fold_of, sample_key, segment_sums, slices
 
 BITS = 16
 ORDERS = (1, 2, 3, 4)
-SAMPLE_ROWS = 6_000
+#: Training rows of a language, about, at most.
+SAMPLE_ROWS = 2_000
+#: Characters that are labelled at a time (a longer text stands alone): the more texts advance together, the fewer steps.
+LABEL_CHARS = 4_000_000
+#: Numbers that scoring distinct words holds at a time, about.
+SCORE_CELLS = 8_000_000
+STEP = np.uint64(0x9E3779B97F4A7C15)
 PENALTY = 12.0
 HELD_OUT = 2
 #: A language uses a script that makes up this share of its letters at least.
@@ -80,6 +86,19 @@ def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return lower[points], begins, first, last, np.searchsorted(begins, first, "right") - 1
 
 
+def distinct_words(points: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct word among the words, and for every word the number of its distinct one (by 64-bit hashes)."""
+    sizes = last - first
+    starts = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(starts, sizes)
+    power = np.cumprod(np.full(int(sizes.max()), STEP, np.uint64))
+    letters = points[np.repeat(first, sizes) + place].astype(np.uint64)
+    h = np.add.reduceat((letters + np.uint64(1)) * power[place], starts)
+    h = (h ^ (h >> np.uint64(29))) * STEP + sizes.astype(np.uint64)
+    _, index, inverse = np.unique(h, return_index=True, return_inverse=True)
+    return index, inverse
+
+
 def gram_streams(points: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(buckets, starts, ends) by order: word i has buckets[starts[i]:ends[i]] of n-grams of its bordered letters."""
     sizes = last - first + 2
@@ -88,11 +107,7 @@ def gram_streams(points: np.ndarray, first: np.ndarray, last: np.ndarray) -> Ite
     letters = np.full(int(ends[-1]) if len(ends) else 0, 1, np.uint32)
     inner = np.ones(len(letters), bool)
     inner[starts], inner[ends - 1] = False, False
-    take = np.arange(len(points) + 1)
-    word = np.zeros(len(points) + 1, np.int64)
-    np.add.at(word, first, 1)
-    np.add.at(word, last, -1)
-    letters[inner] = points[take[:-1][np.cumsum(word[:-1]) > 0]]
+    letters[inner] = points[(np.repeat(first - starts - 1, sizes) + np.arange(len(letters)))[inner]]
     h = np.zeros(len(letters), np.uint32)
     for k in ORDERS:
         h = h[: len(letters) - k + 1] * np.uint32(0x01000193) + letters[k - 1 :] if len(letters) >= k else h[:0]
@@ -107,24 +122,29 @@ class Model:
     logp: np.ndarray
     scripts: np.ndarray
 
+    def word_scores(self, points: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Log-likelihoods of words by language, 0 for the best of all; languages that don't use a word's script are out."""
+        value = np.zeros((len(first), len(self.langs)))
+        parts = np.cumsum(last - first + 2) * len(self.langs) // SCORE_CELLS
+        for a in np.flatnonzero(np.diff(parts, prepend=-1)).tolist():
+            b = int(np.searchsorted(parts, parts[a], "right"))
+            for buckets, lo, hi in gram_streams(points, first[a:b], last[a:b]):
+                value[a:b] += segment_sums(self.logp[buckets], lo, hi)
+        allowed = self.scripts[tables()[2][points[first]]]
+        allowed |= ~allowed.any(axis=1, keepdims=True)  # a script that no language uses narrows nothing
+        return np.where(allowed, value - value.max(axis=1, keepdims=True), -1e6)
+
     def label(self, texts: list[str]) -> tuple[list[str], np.ndarray, list[list[tuple[int, int, str]]]]:
-        """Language, score and spans (start, end, language in characters) of each text."""
+        """Language, score and spans (start, end, language in characters) of each text. A word is scored once, however often it is said."""
         points, begins, first, last, owner = words_of(texts)
         langs, n = [UNKNOWN] * len(texts), len(self.langs)
         score, spans = np.zeros(len(texts)), [[] for _ in texts]
         if not len(first) or not n:
             return langs, score, spans
-        value = np.zeros((len(first), n))
-        for buckets, lo, hi in gram_streams(points, first, last):
-            value += segment_sums(self.logp[buckets], lo, hi)
-        script = tables()[2][points[first]]
-        allowed = self.scripts[script]
-        allowed |= ~allowed.any(axis=1, keepdims=True)  # a script that no language uses narrows nothing
-        value = np.where(allowed, value - value.max(axis=1, keepdims=True), -1e6)
-        path = viterbi(value, owner, len(texts))
+        index, inverse = distinct_words(points, first, last)
+        path = viterbi(self.word_scores(points, first[index], last[index]), inverse, owner, len(texts))
         size = (last - first).astype(np.float64)
-        cover = np.zeros((len(texts), n))
-        np.add.at(cover, (owner, path), size)
+        cover = np.bincount(owner * n + path, size, len(texts) * n).reshape(len(texts), n)
         has = cover.sum(axis=1) > 0
         best = cover.argmax(axis=1)
         score[has] = cover[has, best[has]] / cover[has].sum(axis=1)
@@ -137,42 +157,51 @@ class Model:
         return langs, score, spans
 
 
-def viterbi(value: np.ndarray, owner: np.ndarray, n_texts: int) -> np.ndarray:
-    """Best state of every word; texts advance together, longest first, so the loop is over word positions."""
+def viterbi(value: np.ndarray, word: np.ndarray, owner: np.ndarray, n_texts: int) -> np.ndarray:
+    """Best state of every word (word i scores value[word[i]]); texts advance together, longest first, so the loop is over word positions.
+
+    What a step keeps is a bit for each state (it was switched to) and the state that a switch comes from.
+    """
     counts = np.bincount(owner, minlength=n_texts)
     order = np.argsort(-counts, kind="stable")
     start = (np.cumsum(counts) - counts)[order]
     counts = counts[order]
-    longest = int(counts[0])
-    active = np.searchsorted(-counts, -np.arange(longest), "left")  # texts with more than t words
-    back = np.empty(value.shape, np.int8)
-    states = np.arange(value.shape[1], dtype=np.int8)
-    best = value[start[: active[0]]]
+    longest, states = int(counts[0]), value.shape[1]
+    active = np.searchsorted(-counts, -np.arange(longest), "left").tolist()  # texts with more than t words
+    switched = np.zeros((len(word), -(-states // 8)), np.uint8)
+    origin = np.zeros(len(word), np.int32)
+    best = value[word[start[: active[0]]]]
     for t in range(1, longest):
-        m = active[t]
-        final = best[:m]
+        final = best[: active[t]]
+        at = start[: active[t]] + t
         top = final.argmax(axis=1)
-        jump = final[np.arange(m), top] - PENALTY
-        switch = jump[:, None] > final
-        at = start[:m] + t
-        back[at] = np.where(switch, top[:, None], states)
-        best[:m] = np.where(switch, jump[:, None], final) + value[at]
-    path = np.empty(len(value), np.int64)
+        jump = final[np.arange(len(top)), top][:, None] - PENALTY
+        origin[at] = top
+        switched[at] = np.packbits(jump > final, axis=1)
+        np.maximum(final, jump, out=final)
+        final += value[word[at]]
+    path = np.empty(len(word), np.int64)
     state = best.argmax(axis=1)
     for t in range(longest - 1, -1, -1):
-        m = active[t]
-        at = start[:m] + t
-        path[at] = state[:m]
+        own = state[: active[t]]
+        at = start[: active[t]] + t
+        path[at] = own
         if t:
-            state[:m] = back[at, state[:m]]
+            moved = (switched[at, own >> 3] >> (7 - (own & 7))) & 1
+            state[: active[t]] = np.where(moved == 1, origin[at], own)
     return path
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Count n-grams and scripts by language over training rows: text and lang known, outside the held-out fold."""
+    """Count n-grams and scripts by language over training rows: text and lang known, outside the held-out fold.
+
+    A language has about sample_rows of them at most, chosen by a hash of the id; a rarer one has all of its rows.
+    """
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null").filter(fold_of(F.col("doc_id")) != HELD_OUT)
-    share = sample_rows / max(1, usable.select("doc_id", "lang").count())
-    chosen = usable.filter(sample_key(F.col("doc_id")) < share).select("text", "lang")
+    # One row a language, as in the model itself, which every executor holds.
+    shares = [(r.lang, sample_rows / r.n) for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()]
+    share = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share double"))
+    chosen = usable.join(share, "lang").filter(sample_key(F.col("doc_id")) < F.col("share")).select("text", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: dict[str, np.ndarray] = {}
@@ -187,9 +216,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
                     if len(first):
                         s += np.bincount(tables()[2][points[first]], minlength=len(NAMES))
                     for buckets, lo, hi in gram_streams(points, first, last):
-                        mark = np.zeros(len(buckets) + 1, np.int64)
-                        np.add.at(mark, np.minimum(lo, len(buckets)), 1)
-                        np.add.at(mark, np.minimum(hi, len(buckets)), -1)
+                        mark = np.bincount(lo, minlength=len(buckets) + 1)[: len(buckets) + 1] - np.bincount(hi, minlength=len(buckets) + 1)[: len(buckets) + 1]
                         g += np.bincount(buckets[np.cumsum(mark[:-1]) > 0], minlength=1 << BITS)
         for lang, g in grams.items():
             at = np.flatnonzero(g)
@@ -215,7 +242,7 @@ def language_spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in slices(batch, "__text", 300_000):
+            for part, texts in slices(batch, "__text", LABEL_CHARS):
                 langs, score, spans = shared.value.label(texts)
                 rows = [[{"start": a, "end": b, "lang": x} for a, b, x in s] for s in spans]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(score), pa.array(rows, span)], names=[id_col, "lang_pred", "score", "spans"])

@@ -75,13 +75,55 @@ def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(3)
     owner = np.array([0] * 5 + [2] * 3)
     value = rng.normal(0, 10, (8, 3))
-    path = language.viterbi(value, owner, 3)
+    path = language.viterbi(value[::-1], np.arange(8)[::-1], owner, 3)
     for part in (slice(0, 5), slice(5, 8)):
         v = value[part]
         cost = lambda p, v=v: sum(v[i, s] for i, s in enumerate(p)) - language.PENALTY * sum(a != b for a, b in zip(p, p[1:]))
         assert cost(path[part].tolist()) == pytest.approx(max(map(cost, itertools.product(range(3), repeat=len(v)))))
 
 
+def test_viterbi_of_many_languages():
+    import numpy as np
+
+    value = np.full((40, 300), -50.0)
+    value[:20, 280], value[20:, 131] = 0, 0
+    assert language.viterbi(value, np.arange(40), np.zeros(40, np.int64), 1).tolist() == [280] * 20 + [131] * 20
+
+
+def test_word_scores_equal_a_plain_sum(spark):
+    import math
+    from collections import Counter
+
+    train = [("the cat and the dog", "en"), ("der hund und die katze", "de"), ("собака и кошка", "ru")] * 30
+    model = language.fit(spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(train)], "doc_id long, text string, lang string"))
+
+    def buckets(word):
+        letters = [1, *map(ord, word.lower()), 1]
+        for k in language.ORDERS:
+            for i in range(len(letters) - k + 1):
+                h = 0
+                for x in letters[i : i + k]:
+                    h = (h * 0x01000193 + x) & 0xFFFFFFFF
+                yield ((h * 2654435761 & 0xFFFFFFFF) ^ (k * 0x9E3779B1 & 0xFFFFFFFF)) >> (32 - language.BITS)
+
+    kept = [(t, x) for i, (t, x) in enumerate(train) if zlib.crc32(str(i).encode()) % 4 != 2]
+    counts = {x: Counter(b for t, y in kept if y == x for w in t.split() for b in buckets(w)) for x in model.langs}
+    words = ["hund", "cat", "CAT", "кот", "x"]
+    points, _, first, last, _ = language.words_of(words)
+    got = model.word_scores(points, first, last)
+    for i, w in enumerate(words):
+        plain = [sum(math.log((c[b] + 0.5) / (c.total() + 0.5 * (1 << language.BITS))) for b in buckets(w)) for c in counts.values()]
+        used = [x in "de en".split() if w.isascii() else x == "ru" for x in model.langs]
+        assert got[i].tolist() == pytest.approx([p - max(plain) if u else -1e6 for p, u in zip(plain, used, strict=True)], abs=1e-3)
+    index, inverse = language.distinct_words(points, first, last)
+    assert [words[index[k]].lower() for k in inverse] == [w.lower() for w in words]
+
+
+def test_rare_languages_are_learned(spark):
+    rows = [(i, f"common words number {i}", "en") for i in range(3000)] + [(3000 + i, "seltene sprache hier", "de") for i in range(4)]
+    assert language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 50).langs == ("de", "en")
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
