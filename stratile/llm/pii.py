@@ -219,14 +219,19 @@ def fit(docs: DataFrame) -> dict[str, Trees]:
     counts = {(r.kind, r.y): r.n for r in listed.groupBy("kind", "y").agg(F.count("*").alias("n")).collect()}
     models = {}
     for kind in EXTRA:
-        own = []
-        for y in (0, 1):
-            if n := counts.get((kind, y), 0):
-                rows = listed.filter((F.col("kind") == kind) & (F.col("y") == y)).orderBy("r", "x").limit(SAMPLE_CANDIDATES // 2).select("r", "y", "x").collect()
-                own += [(r.r, r.y, r.x, n / len(rows)) for r in rows]
-        own.sort()
-        if own and (trees := boost(np.array([x for _, _, x, _ in own]), np.array([y for _, y, _, _ in own]), np.array([w for *_, w in own]))):
-            models[kind] = trees
+        x, y, w, r = [], [], [], []
+        for label in (0, 1):
+            if n := counts.get((kind, label), 0):
+                rows = listed.filter((F.col("kind") == kind) & (F.col("y") == label)).orderBy("r", "x").limit(SAMPLE_CANDIDATES // 2).select("r", "x").toArrow().combine_chunks()
+                x.append(rows["x"].combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES)))
+                r.append(rows["r"].to_numpy())
+                y.append(np.full(len(rows), label))
+                w.append(np.full(len(rows), n / len(rows)))
+        if x:
+            x, y, w, r = map(np.concatenate, (x, y, w, r))
+            order = np.lexsort((*x.T[::-1], y, r))
+            if trees := boost(x[order], y[order], w[order]):
+                models[kind] = trees
     return models
 
 

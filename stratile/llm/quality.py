@@ -130,15 +130,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
                 found = [counted(t) for t in texts]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([b.tobytes() for b, _ in found]), pa.array([s.tobytes() for _, s in found])], names=["doc_id", "y", "buckets", "shares"])
 
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for batch in batches:
+            view = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in batch.column(name)]  # noqa: B023, E731  no copies
+            rows += zip(batch.column("doc_id").to_pylist(), batch.column("y").to_pylist(), view("buckets", np.int32), view("shares", np.float32), strict=True)
+        model = train([(b, s, y) for _, y, b, s in sorted(rows, key=lambda r: (r[0], r[1]))])
+        yield pa.RecordBatch.from_arrays([pa.array([model.scores.tobytes()]), pa.array([model.bias])], names=["scores", "bias"])
+
+    # The sample is bounded, so one task trains on it and the driver sees the model alone.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").mapInArrow(run, "doc_id long, y int, buckets binary, shares binary").toArrow()
-    ids, labels_ = found.column("doc_id").to_pylist(), found.column("y").to_pylist()
-    view = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in found.column(name)]  # noqa: E731  no copies
-    rows = list(zip(view("buckets", np.int32), view("shares", np.float32), labels_, strict=True))
-    model = train([rows[i] for i in sorted(range(len(rows)), key=lambda i: (ids[i], labels_[i]))])
-    del found, rows
-    pa.default_memory_pool().release_unused()  # the driver goes on without the sample
-    return model
+    sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").mapInArrow(run, "doc_id long, y int, buckets binary, shares binary")
+    found = sample.repartition(1).mapInArrow(learn, "scores binary, bias double").collect()
+    return Model(np.frombuffer(found[0].scores, np.float32), found[0].bias) if found else train([])
 
 
 def quality_scores(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
