@@ -88,10 +88,32 @@ def test_near_duplicates_of_sets_on_both_sides_of_the_sketch_size(spark):
 
 
 def test_near_duplicates_null_and_repeated_ids(spark):
-    df = spark.createDataFrame([(7, "a b c d e f"), (7, "a b c d e f"), (None, "a b c d e f"), (None, None), (9, "A b c d e f")], "doc_id long, text string")
-    got = sorted(((r.doc_id is None, r.doc_id), r.n_shingles, r.component_id) for r in near_dups.duplicate_groups(df).fillna(-1, ["doc_id"]).collect())
-    assert [(n, c) for _, n, c in got if c is not None] == [(2, 7)] * 4
-    assert len(got) == 5
+    rng = random.Random(3)
+    a, b, c = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(3))
+    rows = [(7, a), (7, a), (None, a), (None, None), (9, a.upper()), (1, a + " x"), (7, b), (2, b + " x"), (None, c), (None, c + " x"), (None, c), (5, ""), (5, "")]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, __row string")
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in near_dups.duplicate_groups(df.drop("__row")).collect())
+    want = [("7", 36, "1", False)] * 2 + [("None", 36, "1", False), ("9", 36, "1", False), ("1", 37, "1", True), ("7", 36, "2", False), ("2", 37, "2", True)]
+    want += [("None", 36, "None", True)] * 2 + [("None", 37, "None", True), ("None", 0, "None", True), ("5", 0, "5", True), ("5", 0, "5", True)]
+    assert got == sorted(want)
+    kept = [(r.doc_id, r.text) for r in near_dups.deduplicated(df.drop("__row")).collect()]
+    assert sorted(t for i, t in kept if i is not None) == sorted([a + " x", b + " x", "", ""])
+    assert sorted(str(t) for i, t in kept if i is None)[0] == "None"
+    assert [t for i, t in kept if i is None and t is not None] in ([c], [c + " x"])
+    assert near_dups.deduplicated(df.drop("__row").limit(0)).count() == 0
+
+
+def test_near_duplicates_of_templates(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    form = [word() for _ in range(100)]
+    texts = [" ".join(form + [word() for _ in range(rng.choice([5, 20, 25, 60]))]) for _ in range(120)]
+    sets = [shingles(t) for t in texts]
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    want = groups(len(texts), links)
+    got = {r.doc_id: r.component_id for r in near_dups.duplicate_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    assert len(set(want)) > 10
 
 
 def test_components(spark):
