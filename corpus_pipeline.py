@@ -25,10 +25,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id; repeated rows of it count as one."""
-    kept = near_dups.duplicate_groups(docs).filter("kept").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null").select(*COLUMNS))
+    """One document of each group of near-duplicates stays, the one with the smallest id (null ids last); texts without words stay."""
+    return near_dups.deduplicated(docs.select(*COLUMNS))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
