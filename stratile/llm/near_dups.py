@@ -195,9 +195,13 @@ def linked_rows(docs: DataFrame) -> DataFrame:
     sets = saved(full_sets(again.select("text")).dropDuplicates(["set_key"]).join(chosen.select("set_key", "cls"), "set_key").drop("set_key"))
     lists = saved(inverted_lists(sets))
     links = saved(confirmed(first_pairs(lists), sets))
-    more = saved(confirmed(later_pairs(lists, components(links)), sets))
-    found = components(links.unionByName(more))
-    groups = classes.select("set_key", "cls", "doc_id").join(found.withColumnRenamed("node", "cls"), "cls", "left").select("set_key", "doc_id", F.coalesce("component", "cls").alias("group"))
+    first = components(links)
+    more = confirmed(later_pairs(lists, first), sets)
+    # The later links are between the first's components.
+    named = lambda end: first.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
+    between = components(more.join(named("a"), "a", "left").join(named("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    inner = classes.select("set_key", "cls", "doc_id").join(first.withColumnRenamed("node", "cls"), "cls", "left").select("set_key", "doc_id", F.coalesce("component", "cls").alias("inner"))
+    groups = inner.join(between.withColumnRenamed("node", "inner"), "inner", "left").select("set_key", "doc_id", F.coalesce("component", "inner").alias("group"))
     named = groups.join(groups.groupBy("group").agg(F.min("doc_id").alias("component_id")), "group").select("set_key", "group", "component_id")
     rows = base.select("doc_id", "row_key", "n_shingles", "set_key").join(named, "set_key", "left")
     return rows.select("doc_id", "row_key", "n_shingles", "group", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from stratile.llm import components, media, near_dups, vectors
 from stratile.llm.shingles import shingle_sets
@@ -116,7 +117,9 @@ def test_near_duplicates_of_templates(spark):
     assert len(set(want)) > 10
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [0, 30, 10**6])
+def test_components(spark, monkeypatch, local):
+    monkeypatch.setattr(components, "LOCAL_LINKS", local)
     rng = random.Random(1)
     links = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 340)] + [(400, k) for k in range(401, 480)] + [(5, 5)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
