@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,7 +77,7 @@ def geoid_applies(crs_type: Column, datum: Column, enabled: Column) -> Column:
     return enabled & crs_type.isin("EPSG", "WKT") & datum.isin("ORTHOMETRIC", "UNKNOWN")
 
 
-def inverse_transverse_mercator(x: Column, y: Column, lon0: float, k0: float, false_easting: float, false_northing: float = 0.0) -> tuple[Column, Column]:
+def inverse_transverse_mercator(x: Column, y: Column, lon0: Column, k0: Column, false_easting: Column, false_northing: Column) -> tuple[Column, Column]:
     """Projected metres to longitude and latitude in degrees on WGS84 (Krueger series to third order in n)."""
     n = FLATTENING / (2 - FLATTENING)
     radius = A / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
@@ -100,10 +98,89 @@ def inverse_transverse_mercator(x: Column, y: Column, lon0: float, k0: float, fa
 
 def utm(x: Column, y: Column, code: int) -> tuple[Column, Column]:
     """EPSG 32601-32660 and 32701-32760; other codes are not supported."""
-    zone, south = (code - 32600, False) if 32601 <= code <= 32660 else (code - 32700, True) if 32701 <= code <= 32760 else (0, False)
-    if not zone:
+    if not (32601 <= code <= 32660 or 32701 <= code <= 32760):
         raise ValueError(f"EPSG:{code} is not a WGS84 UTM zone; no projection for it is built in")
-    return inverse_transverse_mercator(x, y, zone * 6 - 183.0, 0.9996, 500000.0, 10000000.0 if south else 0.0)
+    return projected(x, y, F.lit(code))
+
+
+def projection(code: Column) -> tuple[Column, Column, Column, Column]:
+    """Central meridian, scale, false easting and northing of an EPSG code; nulls where no projection for it is built in.
+
+    WGS84 UTM zones (32601-32660, 32701-32760) and the CGCS2000 Gauss-Krueger zones of 3 degrees (4513-4533 with the zone in
+    the easting, 4534-4554 without) and 6 degrees (4491-4501, 4502-4512). The CGCS2000 ellipsoid differs from WGS84's
+    by a tenth of a millimetre.
+    """
+    among = lambda low, high: code.between(low, high)
+    utm_zone = among(32601, 32660) | among(32701, 32760)
+    lon0 = F.when(utm_zone, code % 100 * 6 - 183).when(among(4513, 4533), (code - 4488) * 3).when(among(4534, 4554), (code - 4509) * 3)
+    lon0 = lon0.when(among(4491, 4501), (code - 4478) * 6 - 3).when(among(4502, 4512), (code - 4502) * 6 + 75)
+    prefix = F.when(among(4513, 4533), code - 4488).when(among(4491, 4501), code - 4478).otherwise(0)
+    scale = F.when(utm_zone, 0.9996).otherwise(1.0)
+    return lon0.cast("double"), scale, (prefix * 1000000 + 500000).cast("double"), F.when(among(32701, 32760), 10000000.0).otherwise(0.0)
+
+
+def projected(x: Column, y: Column, code: Column) -> tuple[Column, Column]:
+    """Projected metres of an EPSG code to longitude and latitude in degrees; nulls for codes that aren't built in."""
+    return inverse_transverse_mercator(x, y, *projection(code))
+
+
+def needs_projection(kind: Column) -> Column:
+    return kind.isin("EPSG", "WKT")
+
+
+def has_reference(kind: Column) -> Column:
+    """Whether the system itself says where on the earth it lies."""
+    return kind == "ENU"
+
+
+def corrected(kind: Column) -> Column:
+    """Whether vertices are moved: a local plane's are right as they are."""
+    return needs_projection(kind)
+
+
+def vertical_datum(kind: Column, stated: Column) -> Column:
+    """Heights of local systems are ellipsoidal; others are as stated, or unknown."""
+    return F.when(needs_projection(kind), F.coalesce(stated, F.lit("UNKNOWN"))).otherwise("ELLIPSOIDAL")
+
+
+def up_axis(kind: Column) -> Column:
+    return F.when(kind.isNotNull(), "Y_UP")
+
+
+def geodetic(kind: Column, code: Column, origin: tuple[Column, ...], p: tuple[Column, ...], frame: tuple[Column, ...]) -> tuple[Column, ...]:
+    """A point of a source system in degrees and metres, without a geoid. frame: longitude, latitude and height of the local
+    origin; origin: the source's offset. Points of a local plane, and of systems without a projection, are at the frame's origin, moved in height alone."""
+    moved = [a + b for a, b in zip(p, origin, strict=True)]
+    lon, lat = projected(moved[0], moved[1], code)
+    flat = ~needs_projection(kind)
+    height = F.when(kind == "ENU", moved[2]).otherwise(p[2])
+    return F.when(flat, frame[0]).otherwise(lon), F.when(flat, frame[1]).otherwise(lat), F.when(flat, frame[2] + height).otherwise(moved[2])
+
+
+def earth_centred(kind: Column, code: Column, origin: tuple[Column, ...], p: tuple[Column, ...], frame: tuple[Column, ...]) -> tuple[Column, ...]:
+    """A point of a source system in earth-centred metres."""
+    local = enu_point(tuple(a + b for a, b in zip(p, origin, strict=True)), *frame)
+    other = ecef(*geodetic(kind, code, origin, p, frame))
+    return tuple(F.when(kind == "ENU", a).otherwise(b) for a, b in zip(local, other, strict=True))
+
+
+def local_plane(kind: Column, code: Column, origin: tuple[Column, ...], p: tuple[Column, ...], frame: tuple[Column, ...], undulation: Column) -> tuple[Column, ...]:
+    """A point of a source system in the plane at frame: projected, its height corrected by the undulation (null or zero: none), then earth-centred and turned.
+
+    A local plane's points only move by their offset; there and back through the earth's centre is the identity.
+    """
+    lon, lat, h = geodetic(kind, code, origin, p, frame)
+    turned = ecef_to_enu(ecef(lon, lat, orthometric_to_ellipsoidal(h, undulation)), *frame)
+    return tuple(F.when(kind == "ENU", a + b).when(needs_projection(kind), t).otherwise(a) for a, b, t in zip(p, origin, turned, strict=True))
+
+
+def frame_origin(kind: Column, code: Column, origin: tuple[Column, ...], stated: tuple[Column, ...], undulation: Column, enabled: Column) -> tuple[Column, ...]:
+    """Longitude, latitude and height of the local origin: as stated, or the projected source origin where the stated one is (0, 0). A geoid corrects heights of projected systems."""
+    lon, lat = projected(origin[0], origin[1], code)
+    derive = needs_projection(kind) & (stated[0] == 0) & (stated[1] == 0)
+    height = F.when(derive, origin[2]).otherwise(stated[2])
+    lifted = F.when(needs_projection(kind) & enabled, orthometric_to_ellipsoidal(height, undulation)).otherwise(height)
+    return F.when(derive, lon).otherwise(stated[0]), F.when(derive, lat).otherwise(stated[1]), lifted
 
 
 def affine_fit(image) -> list[list[Column]]:
@@ -134,7 +211,33 @@ def affine_apply(fit: list[list[Column]], x: Column, y: Column, z: Column) -> tu
     return tuple(f[0] * x + f[1] * y + f[2] * z + f[3] for f in fit)
 
 
-def meters_per_degree(lat: Column) -> tuple[Column, Column]:
-    """Length of a degree of longitude and latitude on the sphere of radius A."""
-    one = math.pi / 180 * A
-    return F.lit(one) * F.cos(F.radians(lat)), F.lit(one)
+#: Radians that a metre of latitude and of longitude at the equator spans (fixed values).
+LATITUDE_RADIANS, LONGITUDE_RADIANS = 0.000000157891, 0.000000156785
+
+
+def latitude_meters(angle: Column) -> Column:
+    """Metres of a difference in latitude (radians)."""
+    return angle / LATITUDE_RADIANS
+
+
+def longitude_meters(angle: Column, lat: Column) -> Column:
+    return angle / LONGITUDE_RADIANS * F.cos(lat)
+
+
+def meters_latitude(meters: Column) -> Column:
+    """Radians of latitude that metres span."""
+    return meters * LATITUDE_RADIANS
+
+
+def meters_longitude(meters: Column, lat: Column) -> Column:
+    return meters * LONGITUDE_RADIANS / F.cos(lat)
+
+
+def transform_height(origin: Column, plane: Column, offset: Column, min_z: Column) -> Column:
+    """Height of a root: its origin's, else its plane's, else what lifts the box to the offset."""
+    return F.coalesce(origin, plane, offset - min_z)
+
+
+def center_override(stated: Column, given: Column) -> Column:
+    """An option that isn't zero counts before the configuration's value."""
+    return F.coalesce(F.nullif(given, F.lit(0.0)), stated)
