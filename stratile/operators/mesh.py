@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import json
 import struct
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,13 +113,82 @@ def b3dm(model: bytes) -> bytes:
 
 
 def tile_models(vertices: DataFrame, group: str, wrap: bool = False) -> DataFrame:
-    """group, content of each group's points as a triangle fan; a group is one tile's mesh and fits a task."""
-    import pandas as pd
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        points = pdf.sort_values("ordinal")[["x", "y", "z"]].to_numpy(np.float32)
-        fan = np.array([i for k in range(1, len(points) - 1) for i in (0, k, k + 1)], np.int64)
-        content = glb(points, fan)
-        return pd.DataFrame({group: [pdf[group].iloc[0]], "content": [b3dm(content) if wrap else content]})
-
-    return vertices.select(group, "ordinal", "x", "y", "z").groupBy(group).applyInPandas(build, f"`{group}` {dict(vertices.dtypes)[group]}, content binary")
+    """group, content of each group's points as a triangle fan. Rows are dealt by group, sorted and streamed: a task holds one group at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        last, keys, made = None, [], []
+
+        def close() -> None:
+            points = np.concatenate(held)
+            n = max(0, len(points) - 2)
+            fan = np.stack([np.zeros(n, np.int64), np.arange(1, n + 1), np.arange(2, n + 2)], axis=1).ravel()
+            content = glb(points, fan)
+            keys.append(last)
+            made.append(b3dm(content) if wrap else content)
+            held.clear()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = batch.column(0).to_pylist()
+            points = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.float32) for i in (1, 2, 3)], axis=1)
+            edges = [0, *(i for i in range(1, len(own)) if own[i] != own[i - 1]), len(own)]
+            for a, b in zip(edges, edges[1:]):
+                if held and own[a] != last:
+                    close()
+                last = own[a]
+                held.append(points[a:b])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field(0).type), pa.array(made, pa.binary())], names=[group, "content"])
+            keys.clear()
+            made.clear()
+        if held:
+            close()
+            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field(0).type), pa.array(made, pa.binary())], names=[group, "content"])
+
+    rows = vertices.select(group, "x", "y", "z", "ordinal").repartition(group).sortWithinPartitions(group, "ordinal").drop("ordinal")
+    return rows.mapInArrow(run, f"`{group}` {dict(vertices.dtypes)[group]}, content binary")
+
+
+def container_layout(content: Column) -> dict[str, Column]:
+    """What a GLB container says of itself: magic, version, whether its length is right, indices, positions, index type, data bytes."""
+    number = lambda at: F.conv(F.concat(*(F.hex(F.substring(content, at + k, 1)) for k in (3, 2, 1, 0))), 16, 10).cast("long")
+    document = content.substr(F.lit(21), number(13).cast("int")).cast("string")
+    field = lambda path: F.get_json_object(document, path).cast("long")
+    return {
+        "magic": F.substring(content, 1, 4).cast("string"),
+        "version": number(5),
+        "whole": number(9) == F.length(content),
+        "indices": field("$.accessors[0].count"),
+        "positions": field("$.accessors[1].count"),
+        "component": field("$.accessors[0].componentType"),
+        "data": field("$.buffers[0].byteLength"),
+    }
+
+
+def unpacked(raw: bytes, width: int, height: int, pixels: str, row_bytes: int = 0) -> np.ndarray:
+    """height x width x 4 bytes (red, green, blue, alpha) of an image in RGBA, BGRA, RGB or BGR whose rows take row_bytes (0: no padding)."""
+    depth = len(pixels)
+    if sorted(pixels) not in (sorted("RGB"), sorted("RGBA")):
+        raise ValueError(f"unknown pixel format {pixels}")
+    step = row_bytes or width * depth
+    rows = np.frombuffer(raw, np.uint8, step * (height - 1) + width * depth)
+    rows = np.concatenate([rows, np.zeros(step * height - len(rows), np.uint8)]).reshape(height, step)[:, : width * depth].reshape(height, width, depth)
+    out = np.full((height, width, 4), 255, np.uint8)
+    for k, channel in enumerate("RGBA"):
+        if channel in pixels:
+            out[:, :, k] = rows[:, :, pixels.index(channel)]
+    return out
+
+
+def downsampled(image: np.ndarray, limit: int) -> np.ndarray:
+    """The image scaled so that no side is over the limit: each pixel is the mean of those it covers."""
+    height, width = image.shape[:2]
+    longest = max(height, width)
+    if longest <= limit:
+        return image
+    h, w = (max(1, int(n * (limit / longest))) for n in (height, width))
+    rows, columns = (np.arange(n) * full // n for n, full in ((h, height), (w, width)))
+    total = np.add.reduceat(np.add.reduceat(image.astype(np.float64), rows, axis=0), columns, axis=1)
+    area = np.diff([*rows, height])[:, None, None] * np.diff([*columns, width])[None, :, None]
+    return np.floor(total / area + 0.5).astype(np.uint8)

@@ -82,6 +82,16 @@ def quadtree_json(spark, sf_dir):
     return documents.quadtree_documents(nodes, quadtree.extent(cells(spark, sf_dir)).first().max_level)
 
 
+def quadtree_index(spark, sf_dir):
+    """The pyramid with content at every node and the cells' documents at its leaves."""
+    found = cells(spark, sf_dir)
+    nodes = quadtree.pyramid(found)
+    top = quadtree.extent(found).first().max_level
+    named = nodes.withColumn("uri", F.when(F.col("level") % 2 == 0, F.concat(F.lit("./top/"), text.mesh_name(F.col("level"), F.col("grid_x"), F.col("grid_y"), F.lit(top)))))
+    trees = found.filter("ordinal % 7 <> 3").select("stem", F.concat(documents.tile_head(), F.lit(',"children":[]}')).alias("json"))
+    return documents.quadtree_index(named, top, found, trees)
+
+
 def grid_padding(spark, sf_dir):
     """Content boxes of cells: the tile's box padded once more."""
     return cells(spark, sf_dir).select("stem", *(c.alias(n) for n, c in boxes.padded(0.2).items()))
@@ -102,7 +112,27 @@ nodes as (
     min(min_x) min_x, min(min_y) min_y, min(min_z) min_z, max(max_x) max_x, max(max_y) max_y, max(max_z) max_z, round(max(l0.ge * power(1.55::double, level)), 4) ge
   from l0, levels, ext group by 1, 2, 3, 4)"""
 
-QUERIES = {f.__name__: f for f in (tile_scan_parse, grid_build, grid_extent, quadtree_pyramid, quadtree_leaves, grid_probe, level_ratio, hlod_names, split_selection, quadtree_json, grid_padding)}
+_N12 = "printf('[%.6f,%.6f,%.6f,%.6f,0.000000,0.000000,0.000000,%.6f,0.000000,0.000000,0.000000,%.6f]', (max_x + min_x) / 2, (max_y + min_y) / 2, (max_z + min_z) / 2, greatest(max_x - min_x, 0.01::double) / 2, greatest(max_y - min_y, 0.01::double) / 2, greatest(max_z - min_z, 0.01::double) / 2)"
+_NODE = f"""'{{"geometricError":' || printf('%.2f', ge) || ',"refine":"REPLACE","boundingVolume":{{"box":' || {_N12} || '}}'"""
+LEVELS = 12
+
+
+def _nested_sql(content: str, leaves: str) -> str:
+    """Documents level by level, up to LEVELS of them."""
+    exact = _PYRAMID.replace("round(max(l0.ge * power(1.55::double, level)), 4) ge", "max(l0.ge * power(1.55::double, level)) ge")
+    levels = [f"d0 as (select grid_x, grid_y, {_NODE} || {content} || ',\"children\":[' || coalesce(c, '') || ']}}' json from pn left join ({leaves}) lf on lf.x = grid_x and lf.y = grid_y where level = 0)"]
+    for k in range(1, LEVELS):
+        levels.append(f"""k{k} as (select ((grid_x - x0) // {2 << k} * {2 << k} + x0)::int x, ((grid_y - y0) // {2 << k} * {2 << k} + y0)::int y, string_agg(json, ',' order by grid_y, grid_x) c from d{k - 1}, ext group by 1, 2),
+      d{k} as (select grid_x, grid_y, {_NODE} || {content} || ',"children":[' || coalesce(c, '') || ']}}' json from pn left join k{k} on x = grid_x and y = grid_y where level = {k})""")
+    pick = " union all ".join(f"select '{k}_' || grid_x || '_' || grid_y tile_id, json from d{k} where (select bits - 1 from lv) = {k}" for k in range(LEVELS))
+    return f"{exact}, pn as (select * from nodes), {', '.join(levels)} {pick}"
+
+
+_CONTENT = f"""case when level % 2 = 0 then ',"content":{{"uri":"./top/' || case when level = (select bits - 1 from lv) then 'root.glb' else printf('L%d_X%+04d_Y%+04d.glb', (select (bits - 1)::int from lv) - 1 - level, grid_x, grid_y) end || '","extensions":{{"3DTILES_content_gltf":{{}}}},"boundingVolume":{{"box":' || (select {_N12} from (select {', '.join(f'o.min_{a} - (o.max_{a} - o.min_{a}) * (0.2::double / 2) min_{a}, o.max_{a} + (o.max_{a} - o.min_{a}) * (0.2::double / 2) max_{a}' for a in 'xyz')})) || '}}}}' else '' end"""
+_CONTENT = _CONTENT.replace("o.m", "pn.m")
+_LEAVES = f"""select ((grid_x - x0) // 2 * 2 + x0)::int x, ((grid_y - y0) // 2 * 2 + y0)::int y, string_agg({_NODE} || ',"children":[]}}', ',' order by stem) c from cells, ext where ordinal % 7 <> 3 group by 1, 2"""
+
+QUERIES = {f.__name__: f for f in (tile_scan_parse, grid_build, grid_extent, quadtree_pyramid, quadtree_leaves, grid_probe, level_ratio, hlod_names, split_selection, quadtree_json, quadtree_index, grid_padding)}
 
 ORACLE_SQL = {
     "tile_scan_parse": "select c_custkey, (c_custkey % 39 - 20)::int grid_x, (c_custkey // 39 - 20)::int grid_y, (c_custkey % 23)::int \"level\" from customer where c_custkey % 7 <> 0",
@@ -114,5 +144,7 @@ ORACLE_SQL = {
     "level_ratio": "select p_partkey, greatest(0.01::double, 0.5::double * power(0.25::double, p_size % 6 + 1)) ratio from part",
     "hlod_names": f"{_PYRAMID} select level, grid_x, grid_y, case when level = m then 'root.glb' else printf('L%d_X%+04d_Y%+04d.glb', m - 1 - level, grid_x, grid_y) end mesh, printf('HLOD_L%d_X%+04d_Y%+04d.json', m - level, grid_x, grid_y) sub_index from nodes, (select (bits - 1)::int m from lv)",
     "split_selection": f"{_PYRAMID} select level, grid_x, grid_y, cells from nodes where (select bits - 1 from lv) - level = 1",
+    "quadtree_json": _nested_sql("''", "select null::int x, null::int y, null::varchar c"),
+    "quadtree_index": _nested_sql(_CONTENT, _LEAVES),
     "grid_padding": f"{CELLS} select stem, {', '.join(f'min_{a} - (max_{a} - min_{a}) * (0.2::double / 2) min_{a}, max_{a} + (max_{a} - min_{a}) * (0.2::double / 2) max_{a}' for a in 'xyz')} from cells",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import dedup, mesh
+from ..operators import dedup, geometry, mesh
 from .trees import table
 
 
@@ -101,11 +101,60 @@ def b3dm_container(spark, sf_dir):
     return made.select("l_orderkey", F.length("content").alias("bytes"), F.expr("substring(content, 1, 4)").cast("string").alias("magic"), F.sha2("content", 256).alias("sha"))
 
 
+def glb_layout(spark, sf_dir):
+    """What the containers of all orders say of themselves."""
+    made = mesh.tile_models(_points(spark, sf_dir), "l_orderkey")
+    return made.select("l_orderkey", *(c.alias(n) for n, c in mesh.container_layout(F.col("content")).items()))
+
+
+def b3dm_layout(spark, sf_dir):
+    """The same of the models inside batched containers, which start behind 28 bytes and two documents."""
+    made = mesh.tile_models(_points(spark, sf_dir), "l_orderkey", wrap=True)
+    head = F.lit(28 + 20 + 40)
+    inner = F.expr("substring(content, 89)")
+    return made.select("l_orderkey", F.substring("content", 1, 4).cast("string").alias("outer"), (F.length("content") % 8).alias("rest"), head.alias("head"), *(c.alias(n) for n, c in mesh.container_layout(inner).items() if n != "whole"))
+
+
+def geometry_collection(spark, sf_dir):
+    """Line items as geometries: those with vertices and primitives, by kind."""
+    return geometry.collect_geometries(_geometries(spark, sf_dir)).select("l_orderkey", "geom", "kind")
+
+
+def _geometries(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("geom"), (F.col("l_returnflag") == "R").alias("below_lod"), (F.col("l_partkey") % 5).alias("n_vertices"), (F.col("l_suppkey") % 4).alias("n_primitives"))
+
+
+def geometry_selection(spark, sf_dir):
+    """The geometries that each order's tile is made of."""
+    kinds = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_orderkey") % 3).alias("type"))
+    return geometry.select_geometries(geometry.collect_geometries(_geometries(spark, sf_dir)), kinds, "l_orderkey").select("l_orderkey", "geom", "kind")
+
+
+def mixed_nodes(spark, sf_dir):
+    """Orders with returned and other items become groups of two tiles."""
+    sides = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max(F.col("l_returnflag") == "R").alias("has_lod"), F.max(F.col("l_returnflag") == "N").alias("has_other"))
+    return geometry.split_mixed(sides.select(F.col("l_orderkey").cast("string").alias("tile_id"), (F.col("l_orderkey") % 10).cast("string").alias("parent_id"), "has_lod", "has_other"))
+
+
+def uv_bbox(spark, sf_dir):
+    return geometry.uv_bbox(table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_discount").alias("u"), F.col("l_tax").alias("v")), "l_orderkey")
+
+
+_N = "with n as (select l_orderkey, count(*) n, 3 * greatest(count(*) - 2, 0) k from lineitem group by 1)"
+_GEO = "with g as (select l_orderkey, l_linenumber * 1000000 + l_partkey geom, case when l_returnflag = 'R' then 1 else 2 end kind from lineitem where l_partkey % 5 > 0 and l_suppkey % 4 > 0)"
 _I = "with i as (select p_partkey, list_transform(range(p_partkey % 11 + 4), lambda i: i * 7 + p_partkey % 100) v from part)"
 
-QUERIES = {f.__name__: f for f in (normal_fix, triangulate_quads, quad_strip, index_range, index_width, texture_size, texture_dedup, vertex_dedup, material_index, missing_material, quantized_positions, vertex_clustering, smooth_normals, glb_container, b3dm_container)}
+QUERIES = {f.__name__: f for f in (normal_fix, triangulate_quads, quad_strip, index_range, index_width, texture_size, texture_dedup, vertex_dedup, material_index, missing_material, quantized_positions, vertex_clustering, smooth_normals, glb_container, b3dm_container, glb_layout, b3dm_layout, geometry_collection, geometry_selection, mixed_nodes, uv_bbox)}
 
 ORACLE_SQL = {
+    "glb_layout": f"{_N} select l_orderkey, 'glTF' magic, 2::bigint \"version\", true whole, k::bigint indices, n::bigint positions, 5121::bigint component, (k + (4 - k % 4) % 4 + 12 * n)::bigint \"data\" from n",
+    "b3dm_layout": f"{_N} select l_orderkey, 'b3dm' \"outer\", 0 rest, 88 head, 'glTF' magic, 2::bigint \"version\", k::bigint indices, n::bigint positions, 5121::bigint component, (k + (4 - k % 4) % 4 + 12 * n)::bigint \"data\" from n",
+    "geometry_collection": f"{_GEO} select * from g",
+    "geometry_selection": f"{_GEO}, w as (select l_orderkey, case when l_orderkey % 3 = 2 or min(kind) = 2 then 2 else 1 end kind from g group by 1) select * from g join w using (l_orderkey, kind)",
+    "mixed_nodes": """with s as (select l_orderkey::varchar t, (l_orderkey % 10)::varchar p, bool_or(l_returnflag = 'R') a, bool_or(l_returnflag = 'N') b from lineitem group by l_orderkey)
+      select t tile_id, p parent_id, case when a then 1 when b then 2 else 0 end "type" from s where not (a and b)
+      union all select t || '#', p, 0 from s where a and b union all select t, t || '#', 1 from s where a and b union all select t || 'o', t || '#', 2 from s where a and b""",
+    "uv_bbox": "select l_orderkey, min(l_discount) min_u, min(l_tax) min_v, max(l_discount) max_u, max(l_tax) max_v from lineitem group by 1",
     "normal_fix": """with v as (select l_orderkey, l_linenumber, l_partkey, l_discount * case l_partkey % 5 when 0 then 0::double when 1 then 1::double else 2::double end x, l_tax * case l_partkey % 5 when 0 then 0::double when 1 then 1::double else 2::double end y, case when l_partkey % 5 = 0 then 0::double else 0.5::double end z from lineitem),
       n as (select *, sqrt(x * x + y * y + z * z) n from v)
       select l_orderkey, l_linenumber, l_partkey, round(case when n < 1e-4 then 0 when abs(n - 1) <= 1e-4 then x else x / n end, 6) nx, round(case when n < 1e-4 then 0 when abs(n - 1) <= 1e-4 then y else y / n end, 6) ny, round(case when n < 1e-4 then 1 when abs(n - 1) <= 1e-4 then z else z / n end, 6) nz from n""",
