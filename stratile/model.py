@@ -91,6 +91,7 @@ class Options:
     lon: float = 0.0
     lat: float = 0.0
     alt: float = 0.0
+    simplify_meshes: bool = False
     simplify: Simplification = field(default_factory=Simplification)
     quantize: Quantization = field(default_factory=Quantization)
     geoid: GeoidConfig = field(default_factory=GeoidConfig)
