@@ -97,7 +97,7 @@ def test_projected_folder_is_moved_to_the_local_plane(spark, folder, tmp_path):
 def test_command_line(spark, folder, tmp_path, capsys):
     assert main(["convert", "-i", str(folder), "-o", str(tmp_path / "o")]) == 0
     assert main(["split", "-i", str(tmp_path / "o/tileset.json"), "-o", str(tmp_path / "p")]) == 0
-    assert "depth 1" in capsys.readouterr().out
+    assert "depth 2" in capsys.readouterr().out  # no depth has 100 tiles, so the deepest of at most 2000
     assert main(["split", "-i", str(tmp_path / "o/tileset.json"), "-o", str(tmp_path / "q"), "-d", "7"]) == 1
     with pytest.raises(SystemExit):
         parser().parse_args(["convert"])
