@@ -252,4 +252,25 @@ def test_mixing_edge_cases(spark):
     assert sum(r.target for r in {r.source: r for r in got}.values()) == pytest.approx(12)
     assert all(r.taken == 0 for r in got if r.size == 0)
     assert mixing.mix(df.limit(0)).count() == 0
-    assert mixing.mixed_documents(df).count() == sum(r.copies for r in got if r.doc_id != 1) + 2 * max(r.copies for r in got if r.doc_id == 1)
+    assert mixing.mixed_documents(df).count() == sum(r.copies for r in got)
+
+
+def test_mixing_of_repeated_rows_and_shared_ids(spark):
+    """Equal rows, shared ids and null ids: every row is taken as the SQL says, and the mix holds just those rows."""
+    rows = [(7, "one two three", "a", 1)] * 9000 + [(None, "four five", "a", 2)] * 500 + [(None, f"text {i} of none", None, 3) for i in range(200)]
+    rows += [(8, f"shared id {i}", "b", 4) for i in range(300)] + [(i, f"some words {i}", "c", 5) for i in range(100, 4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int")
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    want = con.sql(f"select coalesce(doc_id, -1), size, source_size, target, taken from ({mixing.ORACLE})").fetchall()
+    got = mixing.mix(df).fillna(-1, ["doc_id"])
+    assert sorted(map(tuple, got.select("doc_id", "size", "source_size", "target", "taken").collect())) == sorted(want)
+    out = mixing.mixed_documents(df)
+    assert out.columns == df.columns
+    taken = {}
+    for r in got.collect():
+        taken[r.doc_id, r.source] = taken.get((r.doc_id, r.source), 0) + r.copies
+    counts = {(r.doc_id, r.source): r["count"] for r in out.fillna(-1, ["doc_id"]).groupBy("doc_id", "source").count().collect()}
+    assert counts == {k: n for k, n in taken.items() if n}
+    partly = [k for k, n in (((7, "a"), 9000), ((-1, "a"), 500)) if counts[k] % n]
+    assert partly  # a group of equal rows is cut by its source's target
