@@ -41,7 +41,8 @@ K = 10
 TABLES = 8
 PER_BUCKET = 24
 BLOCK = 64
-COUNT_BLOCK = 256
+#: Members of a component in one block: a component of m is sent m / COUNT_BLOCK times, and a task holds two blocks.
+COUNT_BLOCK = 1_024
 #: Best pairs that a member takes from one block.
 TAKEN = 4
 ROUNDS = 6
@@ -193,7 +194,7 @@ def audited(vectors: DataFrame, rows: int, attempt: int = 0) -> DataFrame:
 
 
 def count_links(vectors: DataFrame, found: DataFrame, parts: int) -> DataFrame:
-    """id, links: weights of the other vectors of the same component with a cosine of THRESHOLD at least."""
+    """id, links: weights of the other vectors of the same component with a cosine of THRESHOLD at least; each pair of blocks is compared once."""
     sizes = found.groupBy("component").agg(F.ceil(F.count("*") / COUNT_BLOCK).cast("int").alias("blocks"))
     placed = found.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(F.col("node").alias("id"), F.col("component").alias("key"), F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own")
@@ -202,12 +203,13 @@ def count_links(vectors: DataFrame, found: DataFrame, parts: int) -> DataFrame:
     def each(group: pa.RecordBatch) -> list[tuple]:
         ids, own, w = (group.column(c).to_numpy() for c in ("id", "own", "weight"))
         x = _matrix(group.column("v"))
-        near = x @ x.T >= THRESHOLD
         if group.column("lo")[0].as_py() == group.column("hi")[0].as_py():
+            near = x @ x.T >= THRESHOLD
             np.fill_diagonal(near, False)
-        else:
-            near &= own[:, None] != own[None, :]
-        return ids, near @ w
+            return ids, near @ w
+        here = own == group.column("lo")[0].as_py()
+        near = x[here] @ x[~here].T >= THRESHOLD
+        return np.concatenate([ids[here], ids[~here]]), np.concatenate([near @ w[~here], w[here] @ near])
 
     counts = _grouped(rows, ["key", "lo", "hi"], parts, each, "id long, links long", pa.schema([("id", pa.int64()), ("links", pa.int64())]))
     return counts.groupBy("id").agg(F.sum("links").alias("links"))
