@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor kept and returns a DataFrame, which is
 written as Parquet and reread as the next stage's docs. All but the last return the columns of documents.
+
+Defined results of every stage: an empty table gives no rows; other columns than those of documents are left out, so none
+can clash; equal rows and rows that share an id, or have none, are documents of their own. The classifier and the redaction
+treat equal texts alike; the near-dedup keeps one of a group, equal rows included; the mix takes each row as often as its
+source's target has room for it; null texts score as empty ones, are nobody's copy and are never taken by the mix, as texts
+without words are.
 """
 
 from __future__ import annotations

@@ -45,3 +45,27 @@ def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "ids", "n_tokens", "decoded_ok"]
     assert out.count() > 0
+
+
+def test_stages_on_odd_rows(spark):
+    """Null columns, empty and long texts, equal rows, shared and null ids, clashing columns, an empty table: no stage fails, none drops what it should keep."""
+    good = spark.read.parquet(f"{SF}/documents.parquet").select("text").filter("length(text) > 200").orderBy("doc_id").limit(6).collect()
+    a, b, c, d = (r.text for r in good[:4])
+    rows = [(1, a, "en", "s", 1), (1, a, "en", "s", 1), (1, b, None, "s", 1), (None, c, "en", None, None), (None, d, "en", None, None), (2, None, "en", "s", 0), (3, "", "en", "s", 0), (4, (a + " ") * 300, "en", "s", 9)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(*r, "x", 0.5) for r in rows], schema + ", value string, score double")
+    stages = dict(corpus_pipeline.STAGES)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        kept = out.collect()
+        assert stage(spark, docs.limit(0), SF).count() == 0
+        if name != "sentencepiece":
+            assert out.columns == list(corpus_pipeline.COLUMNS)
+        else:
+            assert len(kept) == len(rows) and all(r.decoded_ok for r in kept if r.decoded_ok is not None)
+    single = sorted((r.doc_id or 0, r.text or "") for r in stages["minhash near-dedup"](spark, docs, SF).collect())
+    assert [t for i, t in single if i in (0, 1)] == [*sorted((c, d)), *sorted((a, b))]
+    clean = stages["personal data"](spark, docs, SF).collect()
+    assert len(clean) == len(rows) and all(r.n_chars == (None if r.text is None else len(r.text)) for r in clean)
+    mixed = stages["source mixing"](spark, docs, SF)
+    assert {r.doc_id for r in mixed.collect()} <= {None, 1, 4}
