@@ -147,6 +147,11 @@ _I = "with i as (select p_partkey, list_transform(range(p_partkey % 11 + 4), lam
 QUERIES = {f.__name__: f for f in (normal_fix, triangulate_quads, quad_strip, index_range, index_width, texture_size, texture_dedup, vertex_dedup, material_index, missing_material, quantized_positions, vertex_clustering, smooth_normals, glb_container, b3dm_container, glb_layout, b3dm_layout, geometry_collection, geometry_selection, mixed_nodes, uv_bbox)}
 
 ORACLE_SQL = {
+    "smooth_normals": """with q as (select l_orderkey geom, l_linenumber n, l_linenumber::double k, l_quantity ax, l_discount * 100 ay, l_tax * 100 az from lineitem),
+      d as (select geom, n, ax + k - ax ux, ay + 3.0::double - ay uy, az - az uz, ax + 2 * k - ax vx, ay - ay vy, az + 2.0::double - az vz from q),
+      f as (select geom, unnest([n % 2, n % 2 + 1, 3]) vertex, uy * vz - uz * vy x, uz * vx - ux * vz y, ux * vy - uy * vx z from d),
+      s as (select geom, vertex, sum(x) x, sum(y) y, sum(z) z from f group by 1, 2), l as (select *, sqrt(x * x + y * y + z * z) l from s)
+      select geom, vertex, round(case when l < 1e-4 then 0 when abs(l - 1) <= 1e-4 then x else x / l end, 5) nx, round(case when l < 1e-4 then 0 when abs(l - 1) <= 1e-4 then y else y / l end, 5) ny, round(case when l < 1e-4 then 1 when abs(l - 1) <= 1e-4 then z else z / l end, 5) nz from l""",
     "glb_layout": f"{_N} select l_orderkey, 'glTF' magic, 2::bigint \"version\", true whole, k::bigint indices, n::bigint positions, 5121::bigint component, (k + (4 - k % 4) % 4 + 12 * n)::bigint \"data\" from n",
     "b3dm_layout": f"{_N} select l_orderkey, 'b3dm' \"outer\", 0 rest, 88 head, 'glTF' magic, 2::bigint \"version\", k::bigint indices, n::bigint positions, 5121::bigint component, (k + (4 - k % 4) % 4 + 12 * n)::bigint \"data\" from n",
     "geometry_collection": f"{_GEO} select * from g",
