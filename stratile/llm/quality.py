@@ -1,6 +1,6 @@
 """Quality classifier: supervised subword embeddings.
 
-A document is the average of learned vectors of its hashed byte n-grams (3 to 5), words and word pairs
+A document is the average of learned vectors of its hashed character n-grams (3 to 5 code points), words and word pairs
 (a word said twice running is one shared pair); a softmax
 layer on that average gives the class. Vectors and layer are trained by numpy stochastic gradient descent on a
 bounded sample of labelled rows (SAMPLE_ROWS expected at most, chosen by a hash of the id). The softmax over two
@@ -30,7 +30,7 @@ RATE = 2.0
 SAMPLE_ROWS = 1_200
 HELD_OUT = 2
 THRESHOLD = 0.7
-#: Zero bytes after each text, so that no n-gram of it reaches the next one.
+#: Zeros after each text, so that no n-gram of it reaches the next one.
 GAP = 8
 SPREAD = np.uint32(2654435761)
 
@@ -41,13 +41,13 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 def feature_streams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(buckets, starts, ends) by kind of feature: text i has buckets[starts[i]:ends[i]]."""
-    raw = [t.encode("utf-8", "surrogatepass").replace(b"\0", b" ") for t in texts]
-    sizes = np.array([len(r) for r in raw], np.int64)
-    buf = np.frombuffer(b"".join(r + bytes(GAP) for r in raw) + bytes(GAP), np.uint8)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    gap = "\0" * GAP
+    buf = np.frombuffer("".join(t.replace("\0", " ") + gap for t in [*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum(sizes + GAP) - GAP
     starts = ends - sizes
     n = len(buf) - GAP
-    h = buf[:n].astype(np.uint32)
+    h = buf[:n]
     for k in range(1, 5):
         h = h * np.uint32(0x01000193) + buf[k : n + k]
         if k >= 2:
@@ -61,7 +61,7 @@ def feature_streams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray,
     at = at - np.repeat(np.concatenate([[0], first]), np.diff(np.concatenate([[0], first, [len(buf)]])))
     weight = np.array([pow(0x9E3779B1, i + 1, 1 << 32) for i in range(64)], np.uint32)[at % 64]
     total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum((buf.astype(np.uint32) + np.uint32(1)) * weight, dtype=np.uint64, out=total[1:])
+    np.cumsum((buf + np.uint32(1)) * weight, dtype=np.uint64, out=total[1:])
     word = ((total[last] - total[first]) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     lo, hi = np.searchsorted(first, starts), np.searchsorted(first, ends)
     yield _mixed(word ^ np.uint32(0x11111111)), lo, hi
