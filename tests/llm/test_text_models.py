@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from stratile.llm import html, language, mixing, pii, quality, queries
 
@@ -274,3 +280,124 @@ def test_mixing_of_repeated_rows_and_shared_ids(spark):
     assert counts == {k: n for k, n in taken.items() if n}
     partly = [k for k, n in (((7, "a"), 9000), ((-1, "a"), 500)) if counts[k] % n]
     assert partly  # a group of equal rows is cut by its source's target
+
+
+def plain_features(text):
+    """Buckets of one text, one feature at a time."""
+    mix = lambda h: ((h & 0xFFFFFFFF) * 2654435761 & 0xFFFFFFFF) >> (32 - quality.BITS)
+    points, out = [ord(c) or 32 for c in text], []
+    for i in range(len(points)):
+        h = points[i]
+        for k in range(1, 5):
+            h = (h * 0x01000193 + (points[i + k] if i + k < len(points) else 0)) & 0xFFFFFFFF
+            if k >= 2:
+                out.append(mix(h ^ (k << 24)))
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.replace("\0", " "))
+    keys = [sum((ord(c) + 1) * pow(0x9E3779B1, i % 64 + 1, 1 << 32) for i, c in enumerate(w)) & 0xFFFFFFFF for w in words]
+    out += [mix(k ^ 0x11111111) for k in keys]
+    return out + [mix((1 if a == b else a * 0x85EBCA6B + b) ^ 0x22222222) for a, b in zip(keys, keys[1:])]
+
+
+SAMPLES = ["one two two three", "é ü ñandú 日本語 日本語 x", "", " ", "a", "😀\0b" * 9, "long" * 50 + " tail"]
+
+
+def test_quality_features_equal_a_plain_count():
+    for text in SAMPLES:
+        want = Counter(plain_features(text))
+        buckets, share = quality.counted(text)
+        assert buckets.tolist() == sorted(want)
+        assert np.allclose(share, [want[b] / max(1, want.total()) for b in sorted(want)], atol=1e-6)
+    model = quality.Model(np.random.default_rng(3).standard_normal(1 << quality.BITS).astype(np.float32), 0.25)
+    plain = [sum(float(model.scores[b]) for b in plain_features(t)) / max(1, len(plain_features(t))) + 0.25 for t in SAMPLES]
+    assert np.allclose(model.score(SAMPLES), 1 / (1 + np.exp(-np.array(plain))), atol=1e-5)
+
+
+def test_quality_training_equals_plain_descent(monkeypatch):
+    monkeypatch.setattr(quality, "EPOCHS", 3)
+    texts = [(f"good text number {i} reads well", 1) if i % 3 else (f"zzz {i} {i} zzz", 0) for i in range(12)]
+    rows = [(*quality.counted(t), y) for t, y in texts]
+    model = quality.train(rows)
+    rng = np.random.default_rng(7)
+    vectors = rng.uniform(-1 / quality.DIM, 1 / quality.DIM, (1 << quality.BITS, quality.DIM)).astype(np.float32)
+    table = {b: [float(v) for v in vectors[b]] for buckets, *_ in rows for b in buckets.tolist()}
+    layer, bias, done = [[0.0] * quality.DIM for _ in range(2)], [math.log(4 / 12), math.log(8 / 12)], 0
+    for _ in range(3):
+        for i in rng.permutation(len(rows)):
+            buckets, share, y = rows[i][0].tolist(), rows[i][1].tolist(), rows[i][2]
+            mean = [sum(s * table[b][d] for b, s in zip(buckets, share, strict=True)) for d in range(quality.DIM)]
+            e = [math.exp(sum(w * m for w, m in zip(layer[k], mean, strict=True)) + bias[k]) for k in range(2)]
+            error = [e[k] / sum(e) - (k == y) for k in range(2)]
+            rate = quality.RATE * (1 - done / 36)
+            back = [sum(error[k] * layer[k][d] for k in range(2)) for d in range(quality.DIM)]
+            layer = [[layer[k][d] - rate * error[k] * mean[d] for d in range(quality.DIM)] for k in range(2)]
+            bias = [bias[k] - 0.02 * rate * error[k] for k in range(2)]
+            for b, s in zip(buckets, share, strict=True):
+                table[b] = [table[b][d] - 20 * rate * s * back[d] for d in range(quality.DIM)]
+            done += 1
+    want = {b: sum(v * (layer[1][d] - layer[0][d]) for d, v in enumerate(vs)) for b, vs in table.items()}
+    assert np.allclose([model.scores[b] for b in want], list(want.values()), atol=1e-4)
+    assert abs(model.bias - (bias[1] - bias[0])) < 1e-4
+
+
+def test_importance_equals_brute_force(spark):
+    rng = random.Random(5)
+    rows, seen = [], {}
+    for host, n in (("a.com", 90), ("b.com", 40), ("c.com", 9)):
+        for i in range(n):
+            copy = rng.random() < 0.3  # of the host's first page
+            r = random.Random(host) if copy else rng
+            branches = {("top",): ["same line"], ("mid",): [f"mid {r.randrange(2)}"], ("mid", "deep"): [f"deep {r.randrange(3)}"], ("few",): [f"few {r.randrange(12)}", "few"], ("own",): ["own"], ("own", "story"): [f"story {0 if copy else i}"]}
+            body = ""
+            for path, texts in branches.items():
+                inner = "".join(f"<p>{t}</p>" for t in texts)
+                below = [f"<div class='{p[1]}'>" + "".join(f"<p>{t}</p>" for t in ts) + "</div>" for p, ts in branches.items() if len(p) == 2 and p[:1] == path]
+                body += f"<div class='{path[0]}'>{inner}{''.join(below)}</div>" if len(path) == 1 else ""
+            rows.append((len(rows), f"http://{host}/{len(rows)}", body))
+            for path in branches:
+                under = {t for p, ts in branches.items() if p[: len(path)] == path for t in ts}
+                for t in under:
+                    seen.setdefault((host, path), {}).setdefault(t, set()).add(body)
+    want = set()
+    for (host, path), features in seen.items():
+        m = len(set().union(*features.values()))
+        if m >= html.MIN_PAGES and max(1 - math.log(len(c)) / math.log(m) for c in features.values()) < html.MIN_IMPORTANCE:
+            want.add((host, xxhash.xxh64_intdigest(f"{host}\x1f" + "".join(f">div.{c}" for c in path)) - (1 << 63)))
+    got = {(r.host, r.branch) for r in html.low_branches(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+    assert 2 <= len(want) < len(seen) - 4
+
+
+def test_trees_equal_plain_evaluation(spark):
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 12, (600, len(pii.FEATURES))).astype(float)
+    y = ((x[:, 0] > 5) & (x[:, 3] <= 7)).astype(int)
+    grad, hess, rows = rng.standard_normal(600), rng.random(600), rng.random(600) < 0.8
+    worth = lambda keep: sum(grad[i] for i in keep) ** 2 / (sum(hess[i] for i in keep) + 1)
+    kept = np.flatnonzero(rows).tolist()
+    gains = {(f, c + 0.5): worth([i for i in kept if x[i, f] <= c]) + worth([i for i in kept if x[i, f] > c]) - worth(kept) for f in range(x.shape[1]) for c in range(11)}
+    gain, f, cut, *_ = pii._split(x, grad, hess, rows)
+    assert abs(gain - max(gains.values())) < 1e-6
+    assert gains[f, cut] == pytest.approx(gain)
+    trees = pii.boost(x, y)
+
+    def leaf(row, side):
+        return side[2] if row[side[0]] <= side[1] else side[3]
+
+    plain = [trees.bias + sum(leaf(r, left if r[f] <= c else right) for f, c, left, right in trees.trees) >= trees.threshold for r in x]
+    frame_ = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "i long, x array<double>")
+    assert [r.c for r in frame_.select("i", trees.chosen(F.col("x")).alias("c")).orderBy("i").collect()] == plain
+    assert np.mean(np.array(plain) == (y == 1)) > 0.97
+
+
+def test_trees_find_secrets_without_an_assignment(spark):
+    """Trained on assigned keys against long plain names; the rule behind the label finds none of the held-out keys."""
+    key = lambda i: hashlib.sha1(f"k{i}".encode()).hexdigest()
+    name = lambda i: f"chapter-{'abcdefghij'[i % 10] * (9 + i % 7)}-part{i % 50}"
+    models = pii.fit(frame(spark, [f'see {name(i)} with api_key = "{key(i)}" and {name(i + 3)}' for i in range(300)]))
+    texts = [f"found {key(1000 + i)} beside {name(i + 5)} there" for i in range(200)]
+    assert not any(re.search(pii.ASSIGNED.removesuffix("$") + "[0-9a-f]{16}", t) for t in texts)
+    rows = {r.doc_id: [(s.start, s.end) for s in r.secret] for r in pii.find_spans(frame(spark, texts), models).collect()}
+    right = sum((6, 46) in rows[i] for i in rows)
+    found = sum(map(len, rows.values()))
+    assert right / len(texts) >= 0.95
+    assert right / found >= 0.95
