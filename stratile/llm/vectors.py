@@ -4,7 +4,8 @@
    or non-finite components take no part; vectors of different lengths are never compared.
 2. A first neighbour graph comes from random hyperplane buckets (TABLES of them, about PER_BUCKET vectors each).
 3. Rounds of NN-descent: a vector's neighbours and reverse neighbours are compared with each other, and each keeps the
-   best K it has met; a list that is full of threshold links is saturated and enlarged (to 4 K). Rounds end
+   best K it has met; a list that is full of threshold links is saturated and enlarged (to 4 K). Two vectors that have
+   met in a group aren't compared there again: a round works on groups with a new member or of several blocks. Rounds end
    when one finds no new link. Groups are compared in blocks of BLOCK members by another hash each
    round, so a hub or a bucket of copies never meets in one task. What a block's links connect stays connected: beside
    each member's best pairs it gives a spanning forest of all its links.
@@ -115,21 +116,32 @@ def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(child, np.int64), np.array(parent, np.int64)
 
 
-def local_join(groups: DataFrame, vectors: DataFrame, parts: int, turn: int = 0) -> DataFrame:
-    """u, v, sim: for each member of a group (key, id) its TAKEN best in its block, and a spanning forest of the block's links. Each turn deals other blocks."""
-    counts = groups.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    blocked = groups.join(counts, "key").withColumn("block", F.pmod(F.xxhash64("id", "key", F.lit(turn)), F.ceil(F.col("n") / BLOCK)))
-    rows = blocked.select("key", "block", "id").join(vectors.select("id", "v"), "id").select("key", "block", "id", "v")
+def group_sizes(groups: DataFrame, last: DataFrame | None = None) -> DataFrame:
+    """key, n, whole of the groups (key, id, new) that have something to compare. whole: all pairs, since the group has several blocks, or had them last time."""
+    counts = groups.groupBy("key").agg(F.count("*").alias("n"), F.max("new").alias("new")).filter("n > 1")
+    large = F.col("n") > BLOCK
+    if last is not None:
+        counts = counts.join(last.filter(large).select("key", F.lit(True).alias("was")), "key", "left")
+        large = large | F.col("was").isNotNull()
+    return counts.filter(F.col("new") | large).select("key", "n", large.alias("whole"))
+
+
+def local_join(groups: DataFrame, sizes: DataFrame, vectors: DataFrame, parts: int, turn: int = 0) -> DataFrame:
+    """u, v, sim: for each member of a group (key, id, new) its TAKEN best in its block, and a spanning forest of the block's links. Members that aren't new have met. Each turn deals other blocks."""
+    blocked = groups.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id", "key", F.lit(turn)), F.ceil(F.col("n") / BLOCK)))
+    rows = blocked.select("key", "block", "id", (F.col("new") | F.col("whole")).alias("new")).join(vectors.select("id", "v"), "id").select("key", "block", "id", "new", "v")
 
     def each(group: pa.RecordBatch) -> list[tuple]:
-        ids = group.column("id").to_numpy()
+        ids, met = group.column("id").to_numpy(), ~group.column("new").to_numpy(zero_copy_only=False)
         order = np.argsort(ids, kind="stable")
-        ids, x = ids[order], _matrix(group.column("v"))[order]
+        ids, met, x = ids[order], met[order], _matrix(group.column("v"))[order]
         sims = x @ x.T
         np.fill_diagonal(sims, -2)
+        sims[np.ix_(met, met)] = -2
         n = min(TAKEN, len(ids) - 1)
         best = np.argpartition(-sims, n - 1, axis=1)[:, :n]
         u, v, s = np.repeat(ids, n), ids[best].ravel(), np.take_along_axis(sims, best, 1).ravel()
+        u, v, s = u[s > -2], v[s > -2], s[s > -2]
         child, parent = _forest((sims >= THRESHOLD) | (sims.T >= THRESHOLD))
         return np.concatenate([u, ids[child]]), np.concatenate([v, ids[parent]]), np.concatenate([s, np.maximum(sims[child, parent], sims[parent, child])])
 
@@ -137,7 +149,7 @@ def local_join(groups: DataFrame, vectors: DataFrame, parts: int, turn: int = 0)
 
 
 def bucket_groups(vectors: DataFrame, bits: int, seed: int) -> DataFrame:
-    """key, id: the buckets of TABLES sets of random hyperplanes."""
+    """key, id, new: the buckets of TABLES sets of random hyperplanes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
@@ -152,19 +164,19 @@ def bucket_groups(vectors: DataFrame, bits: int, seed: int) -> DataFrame:
                 keys = (keys * TABLES + np.arange(TABLES)) * 8191 + int(d)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(rows.column("id").to_numpy(), TABLES))], names=["key", "id"])
 
-    return vectors.select("id", "v").mapInArrow(run, "key long, id long")
+    return vectors.select("id", "v").mapInArrow(run, "key long, id long").withColumn("new", F.lit(True))
 
 
-def neighbour_groups(graph: DataFrame) -> DataFrame:
-    """key, id: every vector with its neighbours and reverse neighbours."""
-    forth, back = graph.select(F.col("u").alias("key"), F.col("v").alias("id")), graph.select(F.col("v").alias("key"), F.col("u").alias("id"))
-    own = graph.select(F.col("u").alias("key"), F.col("u").alias("id"))
-    return forth.unionByName(back).unionByName(own).distinct()
+def neighbour_groups(graph: DataFrame, last: int = 0) -> DataFrame:
+    """key, id, new: every vector with its neighbours and reverse neighbours. New are those that no edge from before the turn last makes a member; the vector itself has met its neighbours."""
+    forth, back = graph.select(F.col("u").alias("key"), F.col("v").alias("id"), "since"), graph.select(F.col("v").alias("key"), F.col("u").alias("id"), "since")
+    own = graph.select(F.col("u").alias("key"), F.col("u").alias("id"), F.lit(-1).alias("since"))
+    return forth.unionByName(back).unionByName(own).groupBy("key", "id").agg((F.min("since") >= last).alias("new"))
 
 
 def best_neighbours(found: DataFrame) -> DataFrame:
-    """The best K of each vector; a list that is saturated with links keeps up to 4 K."""
-    pairs = found.groupBy("u", "v").agg(F.max("sim").alias("sim"))
+    """The best K of each vector (found: u, v, sim, since: the turn that met the pair first); a list that is saturated with links keeps up to 4 K."""
+    pairs = found.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("since").alias("since"))
     rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v"))
     return pairs.withColumn("rank", rank).filter((F.col("rank") <= K) | ((F.col("rank") <= 4 * K) & (F.col("sim") >= THRESHOLD))).drop("rank")
 
@@ -226,15 +238,19 @@ def vector_groups(table: DataFrame) -> DataFrame:
     vectors = saved(base.filter("v is not null").groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight")))
     rows = vectors.count()
     bits = max(1, math.ceil(math.log2(max(2, rows) / PER_BUCKET)))
-    graph, links = None, None
+    graph, links, sizes, last = None, None, None, 0
     for attempt in itertools.count():
-        turn = attempt * (ROUNDS + 1)
-        met = local_join(bucket_groups(vectors, bits, attempt), vectors, parts, turn)
         total = -1
         for step in range(ROUNDS + 1):
+            turn = attempt * (ROUNDS + 1) + step
             if step:
-                met = local_join(neighbour_groups(graph), vectors, parts, turn + step)
-            met = saved(met)
+                groups = neighbour_groups(graph, last)
+                sizes, last = saved(group_sizes(groups, sizes)), turn
+                met = local_join(groups, sizes, vectors, parts, turn)
+            else:
+                groups = bucket_groups(vectors, bits, attempt)
+                met = local_join(groups, group_sizes(groups), vectors, parts, turn)
+            met = saved(met.withColumn("since", F.lit(turn)))
             graph = saved(best_neighbours(met if graph is None else graph.unionByName(met)))
             near = met.filter(F.col("sim") >= THRESHOLD).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
             links = saved((near if links is None else links.unionByName(near)).distinct())

@@ -161,11 +161,39 @@ def test_blocks_keep_bridges_between_dense_groups(spark):
     ends = [np.cos(a) * np.eye(32)[0] + np.sin(a) * np.eye(32)[1] for a in (0.12, 0.38)]
     x = np.array([a + rng.normal(size=32) * 0.001 for a in at for _ in range(20)] + ends)
     rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
-    met = vectors.local_join(rows.selectExpr("1L as key", "id"), rows, 2).filter("sim >= 0.95").collect()
+    one = rows.selectExpr("1L as key", "id", "true as new")
+    met = vectors.local_join(one, vectors.group_sizes(one), rows, 2).filter("sim >= 0.95").collect()
     assert len(met) <= 5 * len(x)
     assert groups(len(x), [(r.u, r.v) for r in met]) == [0] * len(x)
 
 
+def test_rounds_compare_new_members_alone(spark):
+    edges = [(1, 2, 0), (1, 3, 0), (1, 4, 1), (3, 4, 1), (5, 6, 0)]
+    graph = spark.createDataFrame([(u, v, 0.5, s) for u, v, s in edges], "u long, v long, sim double, since int")
+    made = vectors.neighbour_groups(graph, 1)
+    assert {(r.key, r.id): r.new for r in made.collect() if r.key in (1, 5)} == {(1, 1): False, (1, 2): False, (1, 3): False, (1, 4): True, (5, 5): False, (5, 6): False}
+    sizes = vectors.group_sizes(made)
+    assert {r.key for r in sizes.collect()} == {1, 3, 4}
+    rows = spark.createDataFrame([(i, [float(i), 1.0, 2.0]) for i in range(1, 7)], "id long, v array<double>")
+    met = vectors.local_join(made.filter("key = 1"), sizes, rows, 2).collect()
+    assert {(r.u, r.v) for r in met} >= {(4, 1), (4, 2), (4, 3), (1, 4), (2, 4), (3, 4)}
+    assert all(4 in (r.u, r.v) for r in met)
+    last = spark.createDataFrame([(5, vectors.BLOCK + 1, True), (2, vectors.BLOCK, True)], "key long, n long, whole boolean")
+    assert {r.key: r.whole for r in vectors.group_sizes(made, last).collect()} == {1: False, 3: False, 4: False, 5: True}
+
+
+def test_many_vectors_equal_brute_force(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(3000, 6))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    np.fill_diagonal(near, False)
+    want = groups(len(x), zip(*map(list, np.nonzero(near)), strict=True))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in vectors.vector_groups(df).collect()}
+    assert [(got[i].n_links, got[i].component_id) for i in range(len(x))] == [(near[i].sum(), want[i]) for i in range(len(x))]
+
+
 def test_media(spark):
     texts = [None, "", "abc", "é" * 288, "é" * 289, "long text " * 3000, "abc"]
     df = spark.createDataFrame([(i, t, b"clash") for i, t in enumerate(texts)], "doc_id long, text string, media binary")
