@@ -14,12 +14,17 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return index_rows(raw.select(F.input_file_name().alias("tree_id"), F.expr("try_variant_get(try_parse_json(value), '$.root', 'variant')").alias("tile")))
 
 
-def index_rows(roots: DataFrame, max_depth: int = 1000) -> DataFrame:
-    """tree_id, depth, place (child numbers from the root), uri, ge, box of every tile of the variant column tile."""
+def index_rows(roots: DataFrame, max_depth: int = 1000, levels: int | None = None) -> DataFrame:
+    """tree_id, depth, place (child numbers from the root), uri, ge, box of every tile of the variant column tile.
+
+    A column depth is the depth at which a document's root stands. levels: the number of levels where it is known; then no level is written and counted before the next.
+    """
     spark = roots.sparkSession
-    level = cut(roots.filter("tile is not null").select("tree_id", F.lit(0).alias("depth"), F.expr("cast(array() as array<int>)").alias("place"), "tile"))
+    keep = cut if levels is None else lambda df: df
+    top = F.col("depth") if "depth" in roots.columns else F.lit(0)
+    level = keep(roots.filter("tile is not null").select("tree_id", top.alias("depth"), F.expr("cast(array() as array<int>)").alias("place"), "tile"))
     found = None
-    for _ in range(max_depth):
+    for k in range(max_depth if levels is None else levels):
         rows = level.select(
             "tree_id",
             "depth",
@@ -29,7 +34,9 @@ def index_rows(roots: DataFrame, max_depth: int = 1000) -> DataFrame:
             F.expr("try_variant_get(tile, '$.boundingVolume.box', 'array<double>')").alias("box"),
         )
         found = rows if found is None else found.unionByName(rows)
-        level = cut(spark.sql("select tree_id, depth + 1 as depth, concat(place, array(c.pos)) as place, c.value as tile from {level}, lateral variant_explode_outer(try_variant_get(tile, '$.children', 'variant')) as c where c.value is not null", level=level))
-        if not level.limit(1).count():
+        if k + 1 == levels:
+            break
+        level = keep(spark.sql("select tree_id, depth + 1 as depth, concat(place, array(c.pos)) as place, c.value as tile from {level}, lateral variant_explode_outer(try_variant_get(tile, '$.children', 'variant')) as c where c.value is not null", level=level))
+        if levels is None and not level.limit(1).count():
             break
     return found

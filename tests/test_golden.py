@@ -196,6 +196,17 @@ def test_documents_round_trip(spark, tree, tmp_path):
     assert json.loads((tmp_path / "files/a/b.json").read_text()) == document
 
 
+def test_documents_in_parts_round_trip(spark, tree):
+    """Documents of a tree cut at a depth hold no more than a subtree there, and give all tiles back with their depths."""
+    index = hierarchy.tree_index(tree).withColumns({"tree_id": F.col("path")[0], "head": documents.tile_head(F.concat(F.lit("./"), "tile_id", F.lit(".glb")))})
+    parts = documents.parts(index, 1, 2)
+    assert max(len(json.loads(r.json)["children"]) for r in parts.filter("depth = 0").collect()) == 0
+    read = parts.select("tree_id", "depth", F.expr("parse_json(json)").alias("tile"))
+    rows = indexes.index_rows(read, levels=2).collect()
+    assert sorted((r.depth, r.uri or "") for r in rows) == [(0, ""), (1, ""), (1, "./B.glb"), (2, "./A1.glb"), (2, "./A2.glb")]
+    assert {r.tree_id for r in rows} == {"R"}
+
+
 def test_closure_stops_at_cycles(spark):
     links = spark.createDataFrame([("a", "b", 0), ("b", "c", 0), ("c", "a", 0), ("a", "d", 1)], "parent string, child string, ordinal long")
     found = hierarchy.closure(links, spark.createDataFrame([("a",)], "id string"))
