@@ -207,6 +207,19 @@ def test_documents_in_parts_round_trip(spark, tree):
     assert {r.tree_id for r in rows} == {"R"}
 
 
+def test_sub_indexes_are_streamed(spark, tree):
+    """A cut-off subtree's document is the last step's row: nothing joins or copies it afterwards. Children keep their order; a tile without any has an empty list."""
+    index = hierarchy.tree_index(tree).withColumn("head", documents.tile_head(F.concat(F.lit("./"), "tile_id", F.lit(".glb"))))
+    whole = documents.sub_indexes(index, 1, 2)
+    assert whole._jdf.queryExecution().optimizedPlan().nodeName() == "MapInArrow"
+    got = {r.tile_id: json.loads(r.document)["root"]["children"] for r in whole.collect()}
+    assert {k: [c["content"]["uri"] for c in v] for k, v in got.items()} == {"A": ["./A1.glb", "./A2.glb"], "B": []}
+    assert {r.tile_id for r in documents.sub_indexes(index, 2, 2).collect()} == {"A1", "A2"}
+    heads = spark.createDataFrame([("a", "A"), ("b", None), ("c", "C")], "tile_id string, head string")
+    below = spark.createDataFrame([("y", "a", 2, "2"), ("x", "a", 10, "10"), ("z", "a", 3, None), ("w", "b", 1, "1"), ("v", "lost", 1, "1")], "tile_id string, parent_id string, ordinal long, json string")
+    assert sorted(map(tuple, documents.streamed(heads, below, "j", "]}").collect())) == [("a", 'A,"children":[2,10]}'), ("b", None), ("c", 'C,"children":[]}')]
+
+
 def test_closure_stops_at_cycles(spark):
     links = spark.createDataFrame([("a", "b", 0), ("b", "c", 0), ("c", "a", 0), ("a", "d", 1)], "parent string, child string, ordinal long")
     found = hierarchy.closure(links, spark.createDataFrame([("a",)], "id string"))
