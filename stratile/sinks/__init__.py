@@ -30,3 +30,27 @@ def export_files(rows: DataFrame, folder: str, name: str = "name", content: str
             os.replace(path + ".part", path)
 
     rows.select(name, content).foreachPartition(write)
+
+
+def export_pieces(rows: DataFrame, folder: str, name: str) -> None:
+    """One plain file of a document in pieces (place, text), however large, below a folder that every executor mounts. All tasks sort; one writes, a batch of pieces at a time. A missing piece is an error."""
+    from ..operators.documents import in_order
+
+    def write(batches):
+        import os
+
+        def texts():
+            for batch in batches:
+                for text in batch.column("text"):
+                    if not text.is_valid:
+                        raise ValueError(f"{name} lacks a piece")
+                    yield text.as_buffer()
+
+        path = os.path.join(folder, name)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path + ".part", "wb") as f:
+            f.writelines(in_order(texts()))
+        os.replace(path + ".part", path)
+        yield from ()
+
+    rows.orderBy("place").select("text").coalesce(1).mapInArrow(write, "text string").write.format("noop").mode("overwrite").save()

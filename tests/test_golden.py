@@ -15,6 +15,7 @@ from stratile import sinks
 from stratile.functions import boxes, geo, text
 from stratile.model import BOX, Options
 from stratile.operators import dedup, documents, hierarchy, mesh, quadtree
+from stratile.plans import indexes as plans_indexes
 from stratile.plans import meshes
 from stratile.sources import files, indexes
 from stratile.streaming import streaming_boxes
@@ -220,6 +221,52 @@ def test_sub_indexes_are_streamed(spark, tree):
     assert sorted(map(tuple, documents.streamed(heads, below, "j", "]}").collect())) == [("a", 'A,"children":[2,10]}'), ("b", None), ("c", 'C,"children":[]}')]
 
 
+def test_a_document_is_made_of_sorted_pieces(spark, tree, tmp_path, monkeypatch):
+    """Pieces at any depth give the nested document, and none holds more than a subtree there. A tile without a head takes all below it along; one without a parent is in no document."""
+    index = hierarchy.tree_index(tree).withColumn("head", documents.tile_head(F.concat(F.lit("./"), "tile_id", F.lit(".glb")))).localCheckpoint()
+    wide = spark.createDataFrame([("r", None, 0, 5, "{r"), ("q", None, 0, 10, "{q")] + [(f"c{i}", "r", 1, i, "{%d" % i if i != 3 else None) for i in range(12, 0, -1)] + [("l", "c7", 2, 1, "{l"), ("m", "c3", 2, 1, "{m"), ("n", "lost", 2, 1, "{n")], "tile_id string, parent_id string, depth int, ordinal long, head string")
+    want = ['{r,"children":[' + ",".join('{%d,"children":[%s]}' % (i, '{l,"children":[]}' if i == 7 else "") for i in range(1, 13) if i != 3) + "]}", '{q,"children":[]}']
+    for depth in range(3):
+        assert documents.joined(documents.pieces(index, depth, 2)).first().document == documents.nest(index, 2).first().json
+        parts = documents.pieces(wide, depth, 2)
+        assert documents.joined(parts).first().document == ",".join(want)
+        assert max(r.text.count("{") for r in parts.collect()) == (13, 2, 1)[depth]
+
+    box = index.filter("depth = 0").select(*BOX, "ge")
+    transform = [1.0, 0.0, 0.5]
+    parts = documents.root_pieces(documents.pieces(index, 1, 2), box, transform)
+    kids = documents.nest(index, 2, keep=("ordinal",))
+    document = documents.root_index(kids, box, transform).first().document
+    whole = documents.joined(parts)
+    assert [r.document for r in whole.collect()] == [document]
+    assert whole._jdf.queryExecution().optimizedPlan().nodeName() == "MapInArrow"
+    sinks.export_pieces(parts, str(tmp_path / "out"), "a/b.json")
+    assert [p.name for p in (tmp_path / "out/a").iterdir()] == ["b.json"]
+    assert (tmp_path / "out/a/b.json").read_text() == document
+    missing = documents.root_pieces(documents.pieces(index, 1, 2), box.withColumn("min_x", F.lit(None).cast("double")), transform)
+    assert [r.document for r in documents.joined(missing).collect()] == [None]
+    with pytest.raises(Exception, match="lacks a piece"):
+        sinks.export_pieces(missing, str(tmp_path / "out"), "c.json")
+
+    assert documents.checked(index) is index
+    monkeypatch.setattr(documents, "LARGEST", len(document) - 1)
+    with pytest.raises(Exception, match=f"more than the {len(document) - 1} bytes"):
+        documents.joined(parts).collect()
+    monkeypatch.setattr(documents, "LARGEST", len(document))
+    assert documents.joined(parts).first().document == document
+
+
+def test_a_root_document_that_no_value_holds_is_an_error_at_once(spark, tmp_path, monkeypatch):
+    """It is neither nested nor cut, and its file is whole."""
+    folder = "/root/testdata/sf0.001"
+    document = plans_indexes.root_document(spark, folder).first().document
+    monkeypatch.setattr(documents, "LARGEST", len(document) // 2)
+    with pytest.raises(ValueError, match="export_pieces"):
+        plans_indexes.root_document(spark, folder)
+    plans_indexes.write_root_document(spark, folder, str(tmp_path))
+    assert (tmp_path / "tileset.json").read_text() == document
+
+
 def test_closure_stops_at_cycles(spark):
     links = spark.createDataFrame([("a", "b", 0), ("b", "c", 0), ("c", "a", 0), ("a", "d", 1)], "parent string, child string, ordinal long")
     found = hierarchy.closure(links, spark.createDataFrame([("a",)], "id string"))
