@@ -35,6 +35,7 @@ from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,8 +53,10 @@ HOT = 200_000
 SAMPLE_DOCS = 20_000
 #: Characters that a bucket holds on average at most; a bucket's texts are put together in one task.
 BUCKET_CHARS = 12_000_000
-#: Words that are cut at a time.
-WORD_BLOCK = 20_000
+#: Bytes of words that are cut at a time, unless a single one is longer.
+WORD_BYTES = 1_000_000
+#: Blobs whose words are numbered together, and blobs whose distinct words are held before they are made distinct together.
+BLOBS = 32
 #: Characters in a blob of a bucket's texts, and in all blobs that a task holds.
 PACK_CHARS = 400_000
 PACK_TOTAL = 8_000_000
@@ -156,28 +159,62 @@ class Cutter:
         # A space starts a unit unless it follows another one: then texts are sequences of words, each with its own space.
         self.by_word = vocabulary.prefix and all(a == SPACE for a, b in pairs if b == SPACE)
 
-    def words(self, text: str) -> list[str]:
-        """Parts that are encoded on their own: words, or the whole text where spaces stand together or at an end."""
-        if not text:
-            return []
-        if not self.by_word or "  " in text or SPACE in text or text[0] == " " or text[-1] == " ":
-            return [text]
-        return text.split(" ")
-
-    def units(self, words: list[str]) -> tuple[list[str], list[int]]:
-        """Units of many words, and the bounds of each word's units."""
-        whole = "".join([self.prefix + w.replace(" ", SPACE) for w in words])
-        ends = np.cumsum([len(self.prefix) + len(w) for w in words])
-        at = self.index[np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)]
-        cut = np.ones(len(whole), bool)
-        cut[:-1] = ~self.joined[at[:-1] * self.width + at[1:]]
-        cut[ends - 1] = True
-        edges = np.flatnonzero(cut) + 1
-        out, a = [], 0
-        for b in edges.tolist():
-            out.append(whole[a:b])
-            a = b
-        return out, [0, *(np.searchsorted(edges, ends) + 1).tolist()]
+    def words(self, texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+        """Parts that are encoded on their own, and the bounds of each text's: words, or the whole text where spaces stand together or at an end."""
+        empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
+        whole = ~empty
+        if self.by_word:
+            odd = (pc.match_substring(texts, "  "), pc.match_substring(texts, SPACE), pc.starts_with(texts, " "), pc.ends_with(texts, " "))
+            whole &= np.logical_or.reduce([o.to_numpy(zero_copy_only=False) for o in odd])
+        lists = pc.split_pattern(texts, " ")
+        words, bounds = lists.flatten(), lists.offsets.to_numpy()
+        if whole.any() or empty.any():
+            counts = np.where(empty, 0, np.where(whole, 1, np.diff(bounds)))
+            begins = np.where(whole, len(words) + np.arange(len(texts)), bounds[:-1])
+            words, bounds = pa.concat_arrays([words, texts]).take(pa.array(ragged(begins, counts))), bounds_of(counts)
+        return words, bounds
+
+    def units(self, words: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+        """Units of many words, none empty, and the bounds of each word's units."""
+        raw, ends = joined(self.prefix, pc.replace_substring(words, " ", SPACE))
+        starts = np.flatnonzero((raw & 0xC0) != 0x80)  # bytes where characters begin
+        at = self.index[np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)]
+        cut = np.ones(len(starts), bool)
+        cut[1:] = ~self.joined[at[:-1] * self.width + at[1:]]
+        cut[np.searchsorted(starts, ends[:-1])] = True
+        begins = starts[cut]
+        offsets = np.append(begins, len(raw)).astype(np.int32)
+        units = pa.StringArray.from_buffers(len(begins), pa.py_buffer(offsets), pa.py_buffer(raw))
+        return units, np.searchsorted(begins, ends)
+
+
+def bounds_of(counts: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+
+
+def ragged(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """begins[k], begins[k] + 1, ...: counts[k] places for each k."""
+    bounds = bounds_of(counts)
+    return np.repeat(begins - bounds[:-1], counts) + np.arange(bounds[-1])
+
+
+def joined(head: str, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all words one after the other, each with the head before it, and the bounds of each."""
+    if head:
+        words = pc.binary_join_element_wise(head, words, "")
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int32)
+    data = words.buffers()[2] if len(words) else None
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8)
+    return raw, (offsets - offsets[0]).astype(np.int64)
+
+
+def word_blocks(words: pa.StringArray, limit: int = WORD_BYTES) -> Iterator[pa.StringArray]:
+    """Runs of words of about limit bytes; a longer one ends its run."""
+    block = np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False), dtype=np.int64) // limit
+    edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(words)]
+    for a, b in zip(edges, edges[1:]):
+        if b > a:
+            yield words.slice(a, b - a)
 
 
 @cache
@@ -295,18 +332,15 @@ class Cache:
         self.packed = packed
 
     @cached_property
-    def units(self) -> dict[str, bytes]:
-        found: dict[str, bytes] = {}
+    def known(self) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+        """Units, how many ids each has, and their ids one after the other."""
         with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(self.packed)) as stream:
-            for batch in stream:
-                found.update(_by_unit(batch))
-        return found
+            return _by_unit(stream.read_all())
 
 
-def _by_unit(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
-    ids = batch.column("ids")
-    raw, at = ids.values.to_numpy().astype(np.int32).tobytes(), (ids.offsets.to_numpy() * 4).tolist()
-    return zip(batch.column("unit").to_pylist(), [raw[a:b] for a, b in zip(at, at[1:])], strict=True)
+def _by_unit(table: pa.Table) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+    units, ids = (pa.concat_arrays([pa.array([], table.schema.field(c).type), *table.column(c).chunks]) for c in ("unit", "ids"))
+    return units.cast(pa.string()), pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64), ids.flatten().to_numpy().astype(np.int32)
 
 
 def _hot_units(kept: DataFrame, share: float, vocabulary: Vocabulary, tasks: int) -> Cache:
@@ -316,13 +350,14 @@ def _hot_units(kept: DataFrame, share: float, vocabulary: Vocabulary, tasks: int
         cutter = tools(vocabulary)[0]
         for batch in batches:
             for _, texts in slices(batch, "text"):
-                words = Counter(w for t in texts for w in cutter.words(t))
-                units, bounds = cutter.units(list(words)) if words else ([], [0])
-                found: Counter[str] = Counter()
-                for n, a, b in zip(words.values(), bounds, bounds[1:]):
-                    for u in units[a:b]:
-                        found[u] += n
-                yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], names=["unit", "n"])
+                counted = cutter.words(pa.array(texts, pa.string()))[0].value_counts()
+                times, at = counted.field("counts").to_numpy(), 0
+                for words in word_blocks(counted.field("values")):
+                    units, bounds = cutter.units(words)
+                    coded = units.dictionary_encode()
+                    n = np.bincount(coded.indices.to_numpy(), np.repeat(times[at : at + len(words)], np.diff(bounds)))
+                    at += len(words)
+                    yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(n.astype(np.int64))], names=["unit", "n"])
 
     sample = kept.filter(sample_key(F.col("id"), F.lit("pieces")) < share).select("text")
     counts = sample.mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
@@ -344,20 +379,21 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: str =
     dealt = keyed.mapInArrow(_pack, "bucket int, blob binary").repartition(buckets, "bucket")
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, known = tools(vocabulary)[0], hot.value.units
-        seen: dict[int, set[str]] = {}
+        cutter, known = tools(vocabulary)[0], hot.value.known[0]
+        seen: dict[int, list[pa.StringArray]] = {}
         for batch in batches:
             for b, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob"), strict=True):
-                own = seen.setdefault(b, set())
-                own.update(set().union(*map(cutter.words, _unpack(blob)[1])))
+                own = seen.setdefault(b, [])
+                own.append(cutter.words(_unpack(blob)[1])[0].unique())
+                if len(own) > BLOBS:
+                    own[:] = [pa.chunked_array(own).unique()]
         for b, own in seen.items():
-            words, units = list(own), set()
-            for a in range(0, len(words), WORD_BLOCK):
-                units.update(set(cutter.units(words[a : a + WORD_BLOCK])[0]).difference(known))
-            units = list(units)
+            words = pa.chunked_array(own).unique()
+            units = pa.chunked_array([cutter.units(w)[0].unique() for w in word_blocks(words)], pa.string()).unique()
+            units = units.filter(pc.invert(pc.is_in(units, value_set=known)))
             for a in range(0, len(units), 50_000):
                 some = units[a : a + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array([b] * len(some), pa.int32()), pa.array(some, pa.string())], names=["bucket", "unit"])
+                yield pa.RecordBatch.from_arrays([pa.array([b] * len(some), pa.int32()), some], names=["bucket", "unit"])
 
     # A fixed number of partitions: small as the units are, their edges are many, so they must not be coalesced.
     wanted = dealt.mapInArrow(rare, "bucket int, unit string").repartition(buckets, "unit").groupBy("unit").agg(F.collect_set("bucket").alias("buckets"))
@@ -365,31 +401,51 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: str =
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
         cutter, table, names = tools(vocabulary)
-        known = dict(hot.value.units)
-        for batch in right.to_batches(50_000):
-            known.update(_by_unit(batch))
-            nulls = np.flatnonzero(batch.column("ids").is_null().to_numpy(zero_copy_only=False)) if batch.column("ids").null_count else ()
-            for i in nulls:
-                unit = batch.column("unit")[i].as_py()
-                known[unit] = np.array(merge_parts(unit, table, vocabulary.unknown_ids), np.int32).tobytes()
-        whole: dict[str, bytes] = {}
-        odd: set[str] = set()  # words that their ids don't decode to alone
+        short = right.column("ids").is_valid()
+        unmerged = right.filter(pc.invert(short)).column("unit").to_pylist()
+        merged = [merge_parts(u, table, vocabulary.unknown_ids) for u in unmerged]
+        own = (pa.array(unmerged, pa.string()), np.array([len(m) for m in merged], np.int64), np.array([i for m in merged for i in m], np.int32))
+        units, sizes, ids = zip(hot.value.known, _by_unit(right.filter(short)), own, strict=True)
+        units, sizes, ids = pa.concat_arrays(units), np.concatenate(sizes), np.concatenate(ids)
+        begins = bounds_of(sizes)[:-1]
+
+        def encoded(words: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """How many ids each word has, these ids, and whether they don't decode to the word alone."""
+            found, bounds = cutter.units(words)
+            coded = found.dictionary_encode()
+            at = pc.index_in(coded.dictionary, value_set=units).to_numpy()[coded.indices.to_numpy()]
+            values = ids[ragged(begins[at], sizes[at])]
+            ends = bounds_of(sizes[at])[bounds]
+            return np.diff(ends), values, names.differing(values, ends, words)
+
         out = [pa.RecordBatch.from_arrays([pa.array([], f.type) for f in schema], schema=schema)]
-        for blob in left.column("blob"):  # one at a time
-            keys, texts = _unpack(blob)
-            words = [cutter.words(t) for t in texts]
-            new = list(set().union(*words).difference(whole))
-            if new:
-                units, at = cutter.units(new)
-                found = [b"".join(map(known.__getitem__, units[a:b])) for a, b in zip(at, at[1:])]
-                whole.update(zip(new, found, strict=True))
-                odd.update(names.differing(found, new))
-            ids = [b"".join(map(whole.__getitem__, w)) for w in words]
-            values = np.frombuffer(b"".join(ids), np.int32)
-            bounds = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
-            # Words decode to themselves, so a text does; one with an odd word is decoded whole.
-            ok = [not odd or odd.isdisjoint(w) or names.text(values[a:b]) == t.replace(SPACE, " ") for w, t, a, b in zip(words, texts, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-            out.append(pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values)), pa.array(np.diff(bounds).astype(np.int64)), pa.array(ok, pa.bool_())], schema=schema))
+        blobs = left.column("blob")
+        for first in range(0, len(blobs), BLOBS):
+            keys, cut, spans = [], [], []
+            for blob in blobs[first : first + BLOBS]:
+                own_keys, texts = _unpack(blob)
+                words, bounds = cutter.words(texts)
+                keys.append(own_keys)
+                cut.append(words)
+                spans.append(bounds)
+            coded = pa.chunked_array(cut, pa.string()).dictionary_encode().chunks  # of one dictionary; empty ones are left out
+            codes = np.concatenate([np.zeros(0, np.int32), *(c.indices.to_numpy() for c in coded)])
+            done = [encoded(w) for w in word_blocks(coded[0].dictionary)] if coded else []
+            del cut, coded
+            n, values, odd = (np.concatenate([np.zeros(0, t), *(d[i] for d in done)]) for i, t in enumerate((np.int64, np.int32, bool)))
+            at, begin = bounds_of(n)[:-1], 0
+            for k, (own_keys, bounds) in enumerate(zip(keys, spans, strict=True)):
+                code = codes[begin : begin + int(bounds[-1])]
+                begin += int(bounds[-1])
+                got, ends = values[ragged(at[code], n[code])], bounds_of(n[code])[bounds]
+                ok = np.ones(len(own_keys), bool)
+                # Words decode to themselves, so a text does; one with an odd word is decoded whole.
+                held = np.flatnonzero(np.diff(bounds_of(odd[code])[bounds])).tolist()
+                texts = _unpack(blobs[first + k])[1] if held else ()
+                for i in held:
+                    ok[i] = names.text(got[ends[i] : ends[i + 1]]) == texts[i].as_py().replace(SPACE, " ")
+                listed = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(got))
+                out.append(pa.RecordBatch.from_arrays([pa.array(own_keys, pa.int64()), listed, pa.array(np.diff(ends)), pa.array(ok)], schema=schema))
         return pa.Table.from_batches(out)
 
     schema = pa.schema([(id_col, pa.int64()), ("ids", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("decoded_ok", pa.bool_())])
@@ -427,8 +483,9 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush(list(held))
 
 
-def _unpack(blob: pa.Scalar) -> tuple[list, list[str]]:
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(blob.as_py()))
+def _unpack(blob: pa.Scalar) -> tuple[list, pa.StringArray]:
+    keys, texts = pickle.loads(zstandard.ZstdDecompressor().decompress(blob.as_py()))
+    return keys, pa.array(texts, pa.string())
 
 
 class Decoder:
@@ -443,18 +500,16 @@ class Decoder:
         self.begins = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(self.raw), np.uint8)
 
-    def differing(self, ids: list[bytes], words: list[str]) -> list[str]:
-        """The words that their ids don't decode to: all are compared at once, one by one only if that fails."""
-        values = np.frombuffer(b"".join(ids), np.int32)
-        sizes = self.sizes[values]
-        at = np.repeat(self.begins[values] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
-        head = " " if self.prefix else ""
-        raw = [(head + w).encode("utf-8", "surrogatepass") for w in words]
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        ends = np.cumsum([len(i) // 4 for i in ids])
-        if np.array_equal(total[ends], np.cumsum([len(r) for r in raw])) and self.bytes[at].tobytes() == b"".join(raw):
-            return []
-        return [w for w, r, a, b in zip(words, raw, [0, *ends.tolist()], ends.tolist()) if b"".join([self.raw[i] for i in values[a:b].tolist()]) != r]
+    def differing(self, ids: np.ndarray, ends: np.ndarray, words: pa.StringArray) -> np.ndarray:
+        """Whether the ids of each word (bounds: ends) don't decode to it: all are compared at once, one by one only if that fails."""
+        sizes = self.sizes[ids]
+        got_ends = bounds_of(sizes)[ends]
+        got = self.bytes[ragged(self.begins[ids], sizes)]
+        raw, raw_ends = joined(" " if self.prefix else "", words)
+        if np.array_equal(got_ends, raw_ends) and np.array_equal(got, raw):
+            return np.zeros(len(words), bool)
+        got, raw = got.tobytes(), raw.tobytes()
+        return np.array([got[a:b] != raw[c:d] for a, b, c, d in zip(got_ends[:-1].tolist(), got_ends[1:].tolist(), raw_ends[:-1].tolist(), raw_ends[1:].tolist(), strict=True)], bool)
 
     def text(self, ids: np.ndarray) -> str:
         found = b"".join([self.raw[i] for i in ids.tolist()]).decode("utf-8", "replace")

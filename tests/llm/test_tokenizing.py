@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 
 from stratile.llm import pieces, tokens
@@ -38,6 +39,41 @@ def test_empty_table(spark):
     assert tokens.section_token_counts(docs_of(spark, [])).count() == 0
 
 
+def test_cutting_equals_brute_force():
+    vocabulary = pieces.Vocabulary.load()
+    cutter = pieces.Cutter(vocabulary)
+    neighbours = {p[k : k + 2] for p in vocabulary.table() for k in range(len(p) - 1)}
+    texts = [t or "" for t in TEXTS] + [" first", "last ", "two  spaces", "a b"]
+    words, bounds = cutter.words(pa.array(texts, pa.string()))
+    for t, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
+        whole = "  " in t or "▁" in t or t != t.strip(" ")
+        assert words[a:b].to_pylist() == ([t] if whole else t.split(" ") if t else [])
+    seen = []
+    for block in pieces.word_blocks(words, 40):
+        units, ends = cutter.units(block)
+        seen += block.to_pylist()
+        for w, a, b in zip(block.to_pylist(), ends[:-1], ends[1:], strict=True):
+            whole, found = "▁" + w.replace(" ", "▁"), units[a:b].to_pylist()
+            assert "".join(found) == whole
+            assert [*itertools.accumulate(map(len, found))] == [j for j in range(1, len(whole) + 1) if whole[j - 1 : j + 1] not in neighbours]
+    assert seen == words.to_pylist()
+
+
+def test_known_units_take_little_memory():
+    """Units are held as arrays: an object for each took some hundred bytes a unit in every worker."""
+    n = 20_000
+    cache = pieces.Cache(pa.table({"unit": [f"▁unit{i}" for i in range(n)], "ids": pa.array([[i, i + 1] for i in range(n)], pa.list_(pa.int32()))}))
+    units, sizes, ids = cache.known
+    assert units.nbytes + sizes.nbytes + ids.nbytes < 50 * n
+    assert units[7].as_py() == "▁unit7" and sizes[7] == 2 and ids[14:16].tolist() == [7, 8]
+
+
+def test_texts_that_do_not_decode(spark):
+    got = {r.doc_id: r for r in pieces.encode(docs_of(spark, ["ab", "aé b", "ab ab", "é", " ab", ""]), toy(pieces.BPE)).collect()}
+    assert [got[i].decoded_ok for i in range(6)] == [True, False, True, False, True, True]
+    assert got[1].n_tokens == 4 and got[5].ids == []
+
+
 def toy(kind):
     scores = {"a": -2.0, "b": -2.5, "c": -3.0, "ab": -3.1, "bc": -4.2, "abc": -6.0, "▁": -2.0, "▁a": -2.2, "ca": -4.1}
     return pieces.Vocabulary(("<unk>", *scores), (0.0, *scores.values()), (2, *([1] * len(scores))), kind, True)
