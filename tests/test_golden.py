@@ -267,6 +267,40 @@ def test_a_root_document_that_no_value_holds_is_an_error_at_once(spark, tmp_path
     assert (tmp_path / "tileset.json").read_text() == document
 
 
+def test_a_quadtree_index_is_made_of_sorted_pieces(spark, monkeypatch):
+    """Fifteen levels are whole, their children by row and column, and one that no value holds is an error."""
+    found = {(x, y): f"Tile_{x:+04d}_{y:+04d}" for x, y in [(-20, -20), (-19, -20), (-20, -19), (18, -20), (18, 400), (-3, 23056), (18, 23056)]}
+    grid = spark.createDataFrame([(s, x, y, float(x), float(y), 0.0, x + 1.0, y + 1.0, 2.0, 3.0, i) for i, ((x, y), s) in enumerate(found.items())], "stem string, grid_x int, grid_y int, " + ", ".join(f"{c} double" for c in BOX) + ", ge double, ordinal long")
+    top = quadtree.extent(grid).first().max_level
+    nodes = quadtree.pyramid(grid).withColumn("uri", F.when(F.col("level") == 3, F.lit("./top/m.glb")))
+    trees = grid.filter("grid_y <> 400").select("stem", F.format_string('{"ge":%s,"stem":"%s","children":[]}', F.col("ge").cast("string"), "stem").alias("json"))
+    heads = {(r.level, r.grid_x, r.grid_y): r.head for r in nodes.withColumn("head", documents.tile_head()).collect()}
+    leaves = {r.stem: r.json for r in trees.collect()}
+
+    def nested(level, x, y):
+        if level == 0:
+            kids = sorted((s, leaves[s]) for (a, b), s in found.items() if s in leaves and a - x in (0, 1) and b - y in (0, 1))
+            return json.loads(heads[0, x, y] + ',"children":[' + ",".join(j for _, j in kids) + "]}")
+        half = 1 << level
+        below = [(level - 1, a, b) for b in (y, y + half) for a in (x, x + half) if (level - 1, a, b) in heads]
+        return json.loads(heads[level, x, y] + "}") | {"children": [nested(*k) for k in below]}
+
+    def plain(tile):
+        return {k: [plain(t) for t in v] if k == "children" else v for k, v in tile.items() if k != "content"}
+
+    whole = documents.quadtree_index(nodes, top, grid, trees)
+    assert whole._jdf.queryExecution().optimizedPlan().nodeName() == "MapInArrow"
+    row = whole.first()
+    assert (top, row.tile_id) == (14, "14_-20_-20")
+    assert plain(json.loads(row.json)) == nested(top, -20, -20)
+    assert row.json.count("./top/m.glb") == len([k for k in heads if k[0] == 3])
+    monkeypatch.setattr(documents, "LARGEST", len(row.json) - 1)
+    with pytest.raises(Exception, match=f"more than the {len(row.json) - 1} bytes"):
+        documents.quadtree_index(nodes, top, grid, trees).collect()
+    nothing = documents.quadtree_index(nodes.withColumn("ge", F.lit(None).cast("double")), top, grid, trees)
+    assert [tuple(r) for r in nothing.collect()] == [("14_-20_-20", None)]
+
+
 def test_closure_stops_at_cycles(spark):
     links = spark.createDataFrame([("a", "b", 0), ("b", "c", 0), ("c", "a", 0), ("a", "d", 1)], "parent string, child string, ordinal long")
     found = hierarchy.closure(links, spark.createDataFrame([("a",)], "id string"))
